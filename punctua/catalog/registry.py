@@ -26,6 +26,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Rows dealt over all cores when the table has fewer files than cores; unchanged otherwise."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables)`` under a name, with the SQL that must give the same rows."""

@@ -23,21 +23,30 @@ from punctua.config import DEFAULTS
 __all__ = ["asof_join"]
 
 
+def _floor_div(value: Column, by: float) -> Column:
+    # Never NULL here. Saying so keeps Spark from adding NULL filters to one use of a shuffle and
+    # not to another, which would stop the two from sharing it.
+    return F.coalesce(F.floor(value / F.lit(by)), F.lit(0).cast("long"))
+
+
 def _bucket(at: Column, seconds: float) -> Column:
-    return F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(seconds * 1e6))
+    return _floor_div(F.unix_micros(at.cast("timestamp")), seconds * 1e6)
 
 
-def _before(by: Sequence[str], order: str) -> Window:
-    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _over(by: Sequence[str], *order: str) -> Window:
+    return Window.partitionBy(*by).orderBy(*order)
 
 
 def _carry(cells: DataFrame, by: list[str], fan: int) -> DataFrame:
     """For every (by, _b) cell, the last ``_r`` of an earlier cell of the same key."""
-    grouped = cells.withColumn("_g", F.floor(F.col("_b") / F.lit(fan)))
-    near = grouped.withColumn("_near", F.last("_r", ignorenulls=True).over(_before([*by, "_g"], "_b")))
-    groups = grouped.groupBy(*by, "_g").agg(
-        F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_b"))).alias("_r"))
-    far = groups.select(*by, "_g", F.last("_r", ignorenulls=True).over(_before(by, "_g")).alias("_far"))
+    start, end = Window.unboundedPreceding, Window.currentRow
+    group = _over([*by, "_g"], "_b")
+    near = cells.withColumn("_g", _floor_div(F.col("_b"), fan)).withColumns({
+        "_near": F.last("_r", ignorenulls=True).over(group.rowsBetween(start, -1)),
+        "_upto": F.last("_r", ignorenulls=True).over(group.rowsBetween(start, end)),
+        "_closes": F.lead(F.lit(False), 1, True).over(group)})
+    far = near.where("_closes").select(
+        *by, "_g", F.last("_upto", ignorenulls=True).over(_over(by, "_g").rowsBetween(start, -1)).alias("_far"))
     return near.join(far, [*by, "_g"]).select(*by, "_b", F.coalesce("_near", "_far").alias("_carried"))
 
 
@@ -72,14 +81,15 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     timeline = readings.withColumn("_is_left", F.lit(False)).unionByName(
         points.withColumn("_is_left", F.lit(True)), allowMissingColumns=True)
 
-    # A right row at the very same time counts, so it sorts first.
-    up_to_here = (Window.partitionBy(*by, "_b").orderBy("_t", "_is_left")
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (timeline.withColumn("_here", F.last("_r", ignorenulls=True).over(up_to_here))
-              .where("_is_left").select(*by, "_b", "_t", "_here"))
-
-    cells = timeline.groupBy(*by, "_b").agg(
-        F.max_by("_r", F.when(~F.col("_is_left"), F.col("_t"))).alias("_r"))
+    # A right row at the very same time counts, so it sorts first. The placed points and the bucket
+    # summaries come from one sorted pass, so both read the same shuffle.
+    bucket = _over([*by, "_b"], "_t", "_is_left")
+    swept = timeline.withColumns({
+        "_here": F.last("_r", ignorenulls=True).over(
+            bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_closes": F.lead(F.lit(False), 1, True).over(bucket)})
+    placed = swept.where("_is_left").select(*by, "_b", "_t", "_here")
+    cells = swept.where("_closes").select(*by, "_b", F.col("_here").alias("_r"))
     matched = placed.join(_carry(cells, by, fan), [*by, "_b"]).select(
         *by, F.col("_t").alias(left_on), F.coalesce("_here", "_carried").alias("_match"))
     if tolerance_seconds is not None:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctua.functions import (any_dst_ambiguous, delay_minutes, epoch_utc, file_airport, local_to_utc, rounded_int,
-                               safe_number, wall_time)
+from punctua.functions import (delay_minutes, epoch_utc, file_airport, rounded_int, safe_number, wall_time,
+                               with_utc)
 
 __all__ = ["flatten_records", "stage_flights", "stage_weather"]
 
@@ -61,9 +61,7 @@ def stage_flights(raw: DataFrame) -> DataFrame:
     )
     times = [(f"{end}_timezone", f"{end}_{kind}") for end in ("departure", "arrival")
              for kind in ("scheduled", "actual")]
-    converted = typed.select(
-        "*", *[local_to_utc(zone, f"{at}_local").alias(f"{at}_utc") for zone, at in times],
-        any_dst_ambiguous([(zone, f"{at}_local") for zone, at in times]).alias("has_dst_ambiguous_time"))
+    converted = with_utc(typed, [(zone, f"{at}_local", f"{at}_utc") for zone, at in times], "has_dst_ambiguous_time")
 
     def delay(end: str):
         s, a = f"{end}_scheduled", f"{end}_actual"

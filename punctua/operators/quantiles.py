@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = ["quantiles"]
@@ -12,21 +12,11 @@ __all__ = ["quantiles"]
 _BINS = 1024
 
 
-def _binned(df: DataFrame, low: str, high: str) -> DataFrame:
-    """Equal-width bin of ``_v`` between two columns; never decreasing in ``_v``."""
-    width = F.col(high) - F.col(low)
-    place = F.floor((F.col("_v") - F.col(low)) / width * F.lit(_BINS)).cast("int")
-    return df.withColumn("_bin", F.when(width > 0, F.greatest(F.lit(0), F.least(place, F.lit(_BINS - 1))))
-                         .otherwise(F.lit(0)))
-
-
-def _narrow(targets: DataFrame, hist: DataFrame, keys: list[str]) -> DataFrame:
-    """The bin that holds each target rank, with the rank counted from the bin's start."""
-    upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    ends = hist.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
-    return (targets.join(ends, keys)
-            .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end")))
-            .withColumn("_rank", F.col("_rank") - F.col("_start")))
+def _bin(value: Column, low: Column, high: Column) -> Column:
+    """Equal-width bin between two bounds; never decreasing in the value."""
+    place = F.floor((value - low) / (high - low) * F.lit(_BINS)).cast("int")
+    inside = F.greatest(F.lit(0), F.least(place, F.lit(_BINS - 1)))
+    return F.when(high > low, inside).otherwise(F.lit(0))
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
@@ -34,59 +24,45 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     """E13. One row per group with a column per probability; NULLs are ignored.
 
     Values are first counted per distinct value (map-side combined). Each pass then counts at most
-    1,024 equal-width bins per group and keeps the bin that holds the wanted rank, so after two
+    1,024 equal-width bins per group and keeps only the bins that hold a wanted rank, so after two
     passes a millionth of the range is left to order. Groups may be of any size.
     """
     by, names = list(by), list(names or [f"p{p:g}" for p in probs])
-    value_type = "double"
-    counts = (df.where(F.col(col).isNotNull())
-              .groupBy(*by, F.col(col).cast(value_type).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
-    if not by:
-        counts, by_keys = counts.withColumn("_all", F.lit(1)), ["_all"]
-    else:
-        # Grouping columns may be NULL, and NULL keys must still meet in the joins below.
-        by_keys = [f"_k{i}" for i in range(len(by))]
-        for k, c in zip(by_keys, by):
-            counts = counts.withColumn(k, F.struct(F.col(c).alias("k")))
-
-    span = counts.groupBy(*by_keys, *by).agg(
-        F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    position = F.col("_q.p") * (F.col("_total") - F.lit(1))
-    targets = (
-        span.withColumn("_q", F.explode(wanted))
-        .withColumn("_at", F.explode(F.array(
-            F.struct(F.lit("low").alias("side"), F.floor(position).alias("rank")),
-            F.struct(F.lit("high").alias("side"), F.ceil(position).alias("rank")))))
-        .select(*by_keys, F.col("_q.i").alias("_i"), F.col("_at.side").alias("_side"), F.col("_at.rank").alias("_rank"),
-                "_lo", "_hi")
-    )
-    target_key = [*by_keys, "_i", "_side"]
 
-    rows = counts.select(*by_keys, "_v", "_n")
-    for _ in range(passes):
-        located = _binned(rows.join(targets.drop("_rank") if "_i" in rows.columns else targets.select(
-            *target_key, "_lo", "_hi"), target_key if "_i" in rows.columns else by_keys), "_lo", "_hi")
-        hist = located.groupBy(*target_key, "_bin").agg(
-            F.sum("_n").alias("_n"), F.min("_v").alias("_bin_lo"), F.max("_v").alias("_bin_hi"))
-        kept = _narrow(targets.select(*target_key, "_rank"), hist, target_key)
-        rows = located.join(kept.select(*target_key, "_bin"), [*target_key, "_bin"]).select(*target_key, "_v", "_n")
-        targets = kept.select(*target_key, "_rank", F.col("_bin_lo").alias("_lo"), F.col("_bin_hi").alias("_hi"))
+    def position(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_total") - F.lit(1))
 
-    upto = Window.partitionBy(*target_key).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    found = (rows.withColumn("_end", F.sum("_n").over(upto)).join(targets.select(*target_key, "_rank"), target_key)
-             .where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n"))))
-
-    def at(i: int, side: str):
-        return F.max(F.when((F.col("_i") == i) & (F.col("_side") == side), F.col("_v")))
-
-    pairs = found.groupBy(*by_keys).agg(
-        *[at(i, side).alias(f"_{side}{i}") for i in range(len(probs)) for side in ("low", "high")])
-    out = span.join(pairs, by_keys)
+    ranks = [rank(position(p)) for p in probs for rank in (F.floor, F.ceil)]
+    counts = (df.where(F.col(col).isNotNull())
+              .groupBy(*by, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    # Grouping columns may be NULL, and NULL keys must still meet in the joins, so they are wrapped.
+    cell = [f"_k{i}" for i in range(len(by))] or ["_all"]
+    counts = counts.select(*([F.struct(F.col(c).alias("k")).alias(k) for k, c in zip(cell, by)] or
+                             [F.lit(1).alias("_all")]), "_v", "_n")
+
+    start, row = Window.unboundedPreceding, Window.currentRow
+    span = counts.groupBy(*cell).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    rows = counts.join(span.withColumn("_start", F.lit(0).cast("long")), cell)
+    keys = list(cell)
+    for i in range(passes):
+        binned = rows.withColumn(f"_b{i}", _bin(F.col("_v"), F.col("_low"), F.col("_high")))
+        outer, cell = cell, [*cell, f"_b{i}"]
+        sizes = binned.groupBy(*cell).agg(
+            F.sum("_n").alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+            F.max("_total").alias("_total"), F.max("_start").alias("_from"))
+        upto = F.sum("_size").over(Window.partitionBy(*outer).orderBy(f"_b{i}").rowsBetween(start, row))
+        placed = sizes.withColumn("_start", F.col("_from") + upto - F.col("_size"))
+        wanted = F.exists(F.array(*ranks), lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_size")))
+        rows = binned.select(*cell, "_v", "_n").join(
+            placed.where(wanted).select(*cell, "_total", "_low", "_high", "_start"), cell)
+
+    end = F.col("_start") + F.sum("_n").over(Window.partitionBy(*cell).orderBy("_v").rowsBetween(start, row))
+    ordered = rows.withColumn("_end", end)
+    found = ordered.groupBy(*keys).agg(F.max("_total").alias("_total"), *[
+        F.max(F.when((r >= F.col("_end") - F.col("_n")) & (r < F.col("_end")), F.col("_v"))).alias(f"_at{i}")
+        for i, r in enumerate(ranks)])
     result = []
     for i, (p, name) in enumerate(zip(probs, names)):
-        where = F.lit(float(p)) * (F.col("_total") - F.lit(1))
-        share = where - F.floor(where)
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        result.append((low + share * (high - low)).alias(name))
-    return out.select(*by, *result)
+        low, high, at = F.col(f"_at{2 * i}"), F.col(f"_at{2 * i + 1}"), position(p)
+        result.append((low + (at - F.floor(at)) * (high - low)).alias(name))
+    return found.select(*[F.col(f"{k}.k").alias(c) for k, c in zip(keys, by)], *result)

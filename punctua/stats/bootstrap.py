@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from punctua.stats.logit import Model, _Cells, _newton, _prepare
 
-__all__ = ["batch_draws", "cluster_bootstrap"]
+__all__ = ["batch_draws", "cluster_bootstrap", "draw_interval", "draws_frame"]
 
 
 def batch_draws(df: DataFrame, stratum: str, batch: str, reps: int, seed: int) -> DataFrame:
@@ -68,3 +68,10 @@ def draws_frame(df: DataFrame, result: dict) -> DataFrame:
     rows = [(d["spec"], t, d["rep"], float(np.exp(v))) for d in result["draws"] for t, v in d.items()
             if t not in ("spec", "rep", "Intercept")]
     return df.sparkSession.createDataFrame(rows, "spec STRING, term STRING, rep INT, odds_ratio DOUBLE")
+
+
+def draw_interval(result: dict, spec: str, term: str, level: float = 0.95) -> tuple[float, float]:
+    """L11. The middle share of one term's odds ratios. There is one draw per repetition."""
+    values = np.exp([d[term] for d in result["draws"] if d["spec"] == spec])
+    tail = (1 - level) / 2
+    return tuple(float(q) for q in np.quantile(values, [tail, 1 - tail]))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from punctua.operators.quantiles import quantiles
+
 __all__ = ["holm", "interval_side", "normal_p", "percentile_interval", "power", "two_proportion_z", "wilson_interval"]
 
 Z95 = NormalDist().inv_cdf(0.975)
@@ -66,11 +68,9 @@ def interval_side(low: Column | str, high: Column | str) -> Column:
 
 
 def percentile_interval(draws: DataFrame, value: str, by: Sequence[str], level: float = 0.95) -> DataFrame:
-    """L11. The middle share of bootstrap draws per term. Draws number one per repetition."""
+    """L11. The middle share of the values per group, whatever their number."""
     tail = (1 - level) / 2
-    cut = F.percentile(F.col(value), F.array(F.lit(tail), F.lit(1 - tail)))
-    return draws.groupBy(*by).agg(cut.alias("_q")).select(
-        *by, F.col("_q")[0].alias("boot_low"), F.col("_q")[1].alias("boot_high"))
+    return quantiles(draws, value, [tail, 1 - tail], by, ["boot_low", "boot_high"])
 
 
 def power(odds_ratio: float, ci_low: float, ci_high: float, n_ratio: float) -> float:

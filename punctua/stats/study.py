@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import config
-from punctua.stats.bootstrap import cluster_bootstrap, draws_frame
-from punctua.stats.intervals import holm, interval_side, percentile_interval
+from punctua.stats.bootstrap import cluster_bootstrap, draw_interval
+from punctua.stats.intervals import holm, interval_side
 from punctua.stats.logit import Fit, Model, factor, fit_logits, number, odds_ratios
 
 __all__ = [
@@ -124,12 +124,9 @@ def study_summary(df: DataFrame, study: Study, stratum: str, reps: int = 999, se
     table = variant_table(df, study, fit_variants(df, study, [Variant("main", controls)]))
     boot = cluster_bootstrap(df, study.terms(), study.outcome, {
         "primary": (study.group, *controls), "secondary": (*study.pairs, *controls)}, stratum, study.cluster, reps, seed)
-    labels = {study.group: f"{study.base} vs rest", **study.pairs}
-    draws = draws_frame(df, boot).where(
-        ((F.col("spec") == "primary") & (F.col("term") == study.group))
-        | ((F.col("spec") == "secondary") & F.col("term").isin(*study.pairs)))
-    named = draws.replace(labels, subset=["term"]).withColumnRenamed("term", "comparison")
-    intervals = percentile_interval(named, "odds_ratio", ["comparison"])
+    rows = [(f"{study.base} vs rest", *draw_interval(boot, "primary", study.group)),
+            *[(label, *draw_interval(boot, "secondary", term)) for term, label in study.pairs.items()]]
+    intervals = df.sparkSession.createDataFrame(rows, "comparison STRING, boot_low DOUBLE, boot_high DOUBLE")
     is_primary = F.col("comparison") == f"{study.base} vs rest"
     joined = holm(table.join(intervals, "comparison", "left").withColumn("family", is_primary), "p_value", ["family"])
     verdict = F.when(is_primary, F.when(primary_holds(), f"{study.base} is later").otherwise(

@@ -47,7 +47,7 @@ def freshness_problems(dim: DataFrame, stg_weather: DataFrame, stg_flights: Data
     fresh, and arrivals are only asked about while files keep landing.
     """
     hours = cfg.weather_stale_minutes / 60
-    in_hours = lambda c: F.format_string("%.1fh", c / F.lit(60.0))
+    in_hours = lambda c: F.when(c.isNotNull(), F.format_string("%.1fh", c / F.lit(60.0)))
     plain = lambda c: F.concat(c.cast("string"), F.lit("h"))
     files = file_clock(stg_flights)
 

@@ -64,9 +64,9 @@ def raw_flights(t: Tables) -> DataFrame:
     def text(at: Column) -> Column:
         return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
-    def end(place: Column, zone: Column, scheduled: Column, actual: Column, delay: Column) -> Column:
+    def end(place: Column, zone: Column, scheduled: Column, actual: Column, runway: Column, delay: Column) -> Column:
         return F.struct(place.alias("iata"), zone.alias("timezone"), text(scheduled).alias("scheduled"),
-                        text(actual).alias("actual"), text(actual).alias("actual_runway"), delay.alias("delay"))
+                        text(actual).alias("actual"), text(runway).alias("actual_runway"), delay.alias("delay"))
 
     zone = reduce(lambda acc, z: acc.when(c("place") == z[0], z[1]), ZONES.items(), F.when(F.lit(False), ""))
     origin_zone = (F.when((c("l_linestatus") == "O") & (c("l_returnflag") == "N") & (c("l_quantity") > 45),
@@ -92,8 +92,8 @@ def raw_flights(t: Tables) -> DataFrame:
                  codeshared.alias("codeshared")).alias("flight"),
         F.struct(F.concat(F.lit("hex"), c("l_suppkey").cast("string")).alias("icao24")).alias("aircraft"),
         end(F.when(c("l_linestatus") == "F", "AME").otherwise("LOS"), origin_zone, depart, left,
-            c("l_quantity").cast("int").cast("string")).alias("departure"),
-        end(c("place"), zone, arrive, landed,
+            left + _minutes(F.when(c("l_quantity") == 13, 1).otherwise(0)), c("l_quantity").cast("int").cast("string")).alias("departure"),
+        end(c("place"), zone, arrive, landed, landed,
             F.when(c("l_returnflag") == "N", "n/a").otherwise(c("l_quantity").cast("int").cast("string"))
             ).alias("arrival"))
     document = F.to_json(F.struct(F.struct(F.lit(1).alias("total")).alias("pagination"), F.array(record).alias("data")),

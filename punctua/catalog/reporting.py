@@ -154,8 +154,8 @@ def share_crosstab(t: Tables) -> DataFrame:
 
 
 @query("pivot_mean", """
-select c_mktsegment, case when count_if(p = '1') >= 30 then round(avg(b) filter (where p = '1'), 4) end as urgent,
-  case when count_if(p = '5') >= 30 then round(avg(b) filter (where p = '5'), 4) end as low
+select c_mktsegment, case when count_if(p = '1') >= 30 then round(avg(b) filter (where p = '1'), 9) end as urgent,
+  case when count_if(p = '5') >= 30 then round(avg(b) filter (where p = '5'), 9) end as low
 from (select c_mktsegment, left(o_orderpriority, 1) as p, o_totalprice as b from orders
   join customer on o_custkey = c_custkey) group by 1""")
 def pivot_mean(t: Tables) -> DataFrame:
@@ -163,18 +163,18 @@ def pivot_mean(t: Tables) -> DataFrame:
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "c_mktsegment", F.left("o_orderpriority", F.lit(1)).alias("p"), "o_totalprice")
     cells = pivot_stat(rows, "c_mktsegment", "p", "o_totalprice", ["1", "5"], "mean", 30, ["urgent", "low"])
-    return cells.withColumns({c: F.round(c, 4) for c in ("urgent", "low")})
+    return cells.withColumns({c: F.round(c, 9) for c in ("urgent", "low")})
 
 
 @query("pivot_median", """
-select event_type, case when count_if(high) >= 30 then round(quantile_cont(value, 0.5) filter (where high), 4) end as high,
-  case when count_if(not high) >= 30 then round(quantile_cont(value, 0.5) filter (where not high), 4) end as low
+select event_type, case when count_if(high) >= 30 then round(quantile_cont(value, 0.5) filter (where high), 9) end as high,
+  case when count_if(not high) >= 30 then round(quantile_cont(value, 0.5) filter (where not high), 9) end as low
 from (select event_type, value, user_id > 75 as high from events) group by 1""")
 def pivot_median(t: Tables) -> DataFrame:
     """E12. Medians per cell."""
     rows = t.events.select("event_type", "value", (F.col("user_id") > 75).alias("high"))
     cells = pivot_stat(rows, "event_type", "high", "value", [True, False], "median", 30, ["high", "low"])
-    return cells.withColumns({c: F.round(c, 4) for c in ("high", "low")})
+    return cells.withColumns({c: F.round(c, 9) for c in ("high", "low")})
 
 
 @query("slot_comparison", """
@@ -193,23 +193,23 @@ def slot_comparison(t: Tables) -> DataFrame:
 
 
 @query("event_quantiles", """
-select event_type, round(quantile_cont(value, 0.025), 4) as q025, round(quantile_cont(value, 0.5), 4) as median,
-  round(quantile_cont(value, 0.975), 4) as q975 from events group by 1""")
+select event_type, round(quantile_cont(value, 0.025), 9) as q025, round(quantile_cont(value, 0.5), 9) as median,
+  round(quantile_cont(value, 0.975), 9) as q975 from events group by 1""")
 def event_quantiles(t: Tables) -> DataFrame:
     """E13. Exact quantiles, interpolated."""
     out = quantiles(t.events, "value", [0.025, 0.5, 0.975], ["event_type"], ["q025", "median", "q975"])
-    return out.withColumns({c: F.round(c, 4) for c in ("q025", "median", "q975")})
+    return out.withColumns({c: F.round(c, 9) for c in ("q025", "median", "q975")})
 
 
 @query("price_median", """
-select round(quantile_cont(l_extendedprice, 0.5), 4) as median_price,
+select round(quantile_cont(l_extendedprice, 0.5), 9) as median_price,
   round(corr(case when l_returnflag <> 'N' then l_quantity end, l_extendedprice), 6) as correlation from lineitem""")
 def price_median(t: Tables) -> DataFrame:
     """E13, E14. A median over all rows, and a correlation over the pairs that exist."""
     paired = t.lineitem.select(F.when(F.col("l_returnflag") != "N", F.col("l_quantity")).alias("q"), "l_extendedprice")
     return one_row(quantiles(t.lineitem, "l_extendedprice", [0.5], names=["median_price"]),
                    correlation(paired, "q", "l_extendedprice")).withColumns(
-        {"median_price": F.round("median_price", 4), "correlation": F.round("correlation", 6)})
+        {"median_price": F.round("median_price", 9), "correlation": F.round("correlation", 6)})
 
 
 @query("busiest_day", """
@@ -271,11 +271,11 @@ def data_summary_query(t: Tables) -> DataFrame:
 
 
 @query("daily_average", """
-select event_type, ts::date as day, round(avg(value), 4) as avg_value from events group by 1, 2 having avg(value) < 45""")
+select event_type, ts::date as day, round(avg(value), 9) as avg_value from events group by 1, 2 having avg(value) < 45""")
 def daily_average_query(t: Tables) -> DataFrame:
     """E21, C8. Daily averages under a limit."""
     return daily_average(t.events, "event_type", "ts", "value", "avg_value", F.col("avg_value") < 45).withColumn(
-        "avg_value", F.round("avg_value", 4))
+        "avg_value", F.round("avg_value", 9))
 
 
 @query("tail_counts", """
@@ -305,12 +305,12 @@ def rates_by_segment(t: Tables) -> DataFrame:
 
 
 @query("customer_leaderboard", """
-select c_custkey, count(*) as orders, round(avg(o_totalprice), 2) as avg_price from orders
+select c_custkey, count(*) as orders, round(avg(o_totalprice), 9) as avg_price from orders
 join customer on o_custkey = c_custkey group by 1 having count(*) >= 5 order by orders desc, c_custkey limit 15""")
 def customer_leaderboard(t: Tables) -> DataFrame:
     """E4, C8, G1. Top k of groups big enough."""
     per = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.avg("o_totalprice"), 2).alias("avg_price"))
+        F.count(F.lit(1)).alias("orders"), F.round(F.avg("o_totalprice"), 9).alias("avg_price"))
     known = per.join(t.customer.select("c_custkey"), "c_custkey", "left_semi").where("orders >= 5")
     return top_k(known, [F.desc("orders"), F.asc("c_custkey")], 15)
 
@@ -318,13 +318,13 @@ def customer_leaderboard(t: Tables) -> DataFrame:
 @query("folded_categories", """
 with ranked as (select event_type, row_number() over (order by count(*) desc, event_type) as rn from events group by 1)
 select user_id, case when rn <= 3 then event_type else 'Other' end as category, least(min(rn), 4)::int as rank,
-  count(*) as events, round(avg(value), 4) as avg_value from events join ranked using (event_type) group by 1, 2""")
+  count(*) as events, round(avg(value), 9) as avg_value from events join ranked using (event_type) group by 1, 2""")
 def folded_categories(t: Tables) -> DataFrame:
     """E6, D4, F4. Rare categories fold before averaging."""
     ranked = join_ranked(t.events, "event_type", 3)
     name = F.when(F.col("rank") <= 3, F.col("event_type")).otherwise(F.lit("Other"))
     return ranked.groupBy("user_id", name.alias("category")).agg(
-        F.min("rank").alias("rank"), F.count(F.lit(1)).alias("events"), F.round(F.avg("value"), 4).alias("avg_value"))
+        F.min("rank").alias("rank"), F.count(F.lit(1)).alias("events"), F.round(F.avg("value"), 9).alias("avg_value"))
 
 
 @query("threshold_flags", """
@@ -420,7 +420,7 @@ def _checks_sql() -> str:
            " (select max(observed_at) from stg_weather) - interval 6 hour", "warn")
     rowset("weather_temp_is_fahrenheit", "select 1 from stg_weather where iata_code in ('MIA', 'LAX')"
            " group by iata_code, observed_at::date having avg(temp_f) < 40")
-    rows.append(("actual_is_runway_time", "warn", "select 0"))
+    rows.append(("actual_is_runway_time", "warn", "select count_if(l_quantity = 13) from label_rows"))
     return " union all ".join(
         f"select '{n}' as \"check\", '{s}' as severity, ({q})::bigint as violations, ({q}) = 0 as passed"
         for n, s, q in rows)

@@ -286,11 +286,11 @@ def rare_to_other_query(t: Tables) -> DataFrame:
 
 @query("rare_to_other_listed", """
 select case when c_mktsegment in ('BUILDING', 'MACHINERY') then c_mktsegment else 'Other' end as segment,
-  count(*) as customers, round(avg(c_acctbal), 4) as balance from customer group by 1""")
+  count(*) as customers, round(avg(c_acctbal), 9) as balance from customer group by 1""")
 def rare_to_other_listed(t: Tables) -> DataFrame:
     """B31. Keep a fixed list, the rest is Other."""
     return rare_to_other(t.customer, "c_mktsegment", keep=["BUILDING", "MACHINERY"], name="segment").groupBy(
-        "segment").agg(F.count(F.lit(1)).alias("customers"), F.round(F.avg("c_acctbal"), 4).alias("balance"))
+        "segment").agg(F.count(F.lit(1)).alias("customers"), F.round(F.avg("c_acctbal"), 9).alias("balance"))
 
 
 @query("scope_semi", """

@@ -128,10 +128,8 @@ select event_id, user_id, ts, last_value(case when event_type = 'error' then val
 from events""")
 def carry_forward_query(t: Tables) -> DataFrame:
     """F6. The last error value known at each event, by the as-of join, so no user is one sorted group."""
-    errors = t.events.where("event_type = 'error'").groupBy("user_id", F.col("ts").alias("error_at")).agg(
-        F.max_by("value", "event_id").alias("last_error"))
-    return asof_join(t.events.select("event_id", "user_id", "ts"), errors, ["user_id"], "ts", "error_at",
-                     ["last_error"]).drop("error_at")
+    errors = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "error", F.col("value")).alias("v"))
+    return carry_forward(errors, ["user_id"], "ts", "v", "event_id", "last_error").drop("v")
 
 
 _FLIGHT_COLUMNS = (

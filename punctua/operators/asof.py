@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from punctua.config import DEFAULTS
 
-__all__ = ["asof_join"]
+__all__ = ["asof_join", "carry_forward"]
 
 
 def _floor_div(value: Column, by: float) -> Column:
@@ -100,3 +100,15 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
 
     return left.join(matched, [*by, left_on], "left").select(
         *[F.col(c) for c in left.columns], *[F.col(f"_match.{c}").alias(c) for c in kept])
+
+
+def carry_forward(df: DataFrame, by: Sequence[str], at: str, col: str, tie: str, name: str | None = None) -> DataFrame:
+    """F6. Last known value of ``col`` at or before each row's time; NULL values are skipped.
+
+    Rows of one time share the value that comes last by ``tie``. It is an as-of join of the table with
+    its own known values, so a long series is split by time instead of sorted as one group.
+    """
+    known = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(at).alias("_known_at")).agg(
+        F.max_by(col, tie).alias("_known"))
+    carried = asof_join(df, known, by, at, "_known_at", ["_known"])
+    return carried.withColumn(name or col, F.col("_known")).drop("_known_at", "_known")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["carry_forward", "collapse_with_count", "latest_by"]
+__all__ = ["collapse_with_count", "latest_by"]
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -34,13 +34,3 @@ def collapse_with_count(df: DataFrame, keys: Sequence[str], first_by: Sequence[s
         .agg(F.min_by(F.struct(*rest), order).alias("_first"), F.count(F.lit(1)).alias(count_name))
         .select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns], count_name)
     )
-
-
-def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[Column], col: str,
-                  name: str | None = None) -> DataFrame:
-    """F6. Last known value at or before each row.
-
-    One key is one sorted group here. For long series use ``asof_join``, which splits it by time.
-    """
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name or col, F.last(F.col(col), ignorenulls=True).over(w))

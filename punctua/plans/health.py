@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,29 +106,27 @@ def problem_signature(detail: Column | str) -> Column:
     return F.regexp_replace(text, r"\d+(\.\d+)?h\b", "Nh")
 
 
-_ALERTS = "kind STRING, checked_at TIMESTAMP_NTZ, detail STRING, suppressed BIGINT"
+ALERT_FIELDS = "kind STRING, checked_at TIMESTAMP_NTZ, detail STRING, suppressed BIGINT"
+
 
+class AlertState:
+    """What the throttle remembers per problem: its wording, its last alert, and repeats held back since."""
 
-def alert_rows(times: pd.Series, details: pd.Series, signatures: pd.Series, realert: pd.Timedelta) -> pd.DataFrame:
-    """Alerts of one key from its time-ordered results. Runs of equal signature are independent."""
-    texts = signatures.where(signatures.notna(), None)
-    run = (texts.fillna("\0") != texts.fillna("\0").shift()).cumsum().to_numpy()
-    at, out, opened, held = times.to_numpy(), [], False, 0
-    starts = [0, *(i for i in range(1, len(run)) if run[i] != run[i - 1]), len(run)]
-    for lo, hi in zip(starts, starts[1:]):
-        if texts.iloc[lo] is None:
-            if opened:
-                out.append(("recovered", at[lo], None, held))
-            opened, held = False, 0
-            continue
-        i = lo
-        while i < hi:
-            out.append(("alert", at[i], details.iloc[i], held))
-            # The next alert of the same problem comes strictly later than the re-alert interval.
-            nxt = i + int((at[i:hi] <= at[i] + realert.to_timedelta64()).sum())
-            held, i = nxt - i - 1, nxt
-        opened = True
-    return pd.DataFrame(out, columns=["kind", "checked_at", "detail", "suppressed"])
+    def __init__(self, signature=None, last=None, held: int = 0):
+        self.signature, self.last, self.held = signature, last, held
+
+    def advance(self, at, text, signature, realert: pd.Timedelta):
+        """The announcement one result causes, or None."""
+        if signature is None or signature != signature:
+            said = ("recovered", at, None, self.held) if self.signature is not None else None
+            self.__init__()
+            return said
+        if signature == self.signature and at <= self.last + realert:
+            self.held += 1
+            return None
+        said = ("alert", at, text, self.held)
+        self.signature, self.last, self.held = signature, at, 0
+        return said
 
 
 def throttle_alerts(results: DataFrame, key: str = "check", at: str = "checked_at", detail: str = "detail",
@@ -142,12 +142,19 @@ def throttle_alerts(results: DataFrame, key: str = "check", at: str = "checked_a
         F.max(F.struct(F.col(at).alias("checked_at"), F.col(detail).alias("detail"))).alias("_r"))
     rows = last.select(key, "_r.checked_at", "_r.detail").withColumn("signature", problem_signature("detail"))
     realert = pd.Timedelta(hours=realert_hours)
-    key_type = dict(rows.dtypes)[key]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("checked_at", kind="stable")
-        out = alert_rows(pdf["checked_at"], pdf["detail"], pdf["signature"], realert)
-        out.insert(0, key, pdf[key].iloc[0])
-        return out
 
-    return rows.groupBy(key).applyInPandas(fold, f"`{key}` {key_type}, {_ALERTS}").withColumnRenamed("checked_at", at)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = None, AlertState()
+        for batch in batches:
+            out = []
+            for k, when, text, sign in zip(batch[key], batch["checked_at"], batch["detail"], batch["signature"]):
+                if k != current:
+                    current, state = k, AlertState()
+                said = state.advance(when, text, sign, realert)
+                if said:
+                    out.append((k, *said))
+            yield pd.DataFrame(out, columns=[key, "kind", "checked_at", "detail", "suppressed"])
+
+    # Keys arrive whole and in time order, one after another, so a task remembers one key's state only.
+    ordered = rows.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, "checked_at")
+    return ordered.mapInPandas(fold, f"`{key}` {dict(rows.dtypes)[key]}, {ALERT_FIELDS}").withColumnRenamed("checked_at", at)

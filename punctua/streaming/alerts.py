@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from punctua.config import DEFAULTS
-from punctua.plans.health import problem_signature
+from punctua.plans.health import ALERT_FIELDS, AlertState, problem_signature
 
 __all__ = ["stream_alerts"]
 
-_OUT = "kind STRING, checked_at TIMESTAMP_NTZ, detail STRING, suppressed BIGINT"
 _STATE = "signature STRING, last_at TIMESTAMP_NTZ, held BIGINT"
 
 
@@ -31,21 +30,12 @@ def stream_alerts(results: DataFrame, key: str = "check", at: str = "checked_at"
     def fold(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(parts)).sort_values("checked_at", kind="stable")
         signature, last, held = state.get if state.exists else (None, None, 0)
-        out = []
-        for at_, text, sign in zip(batch["checked_at"], batch["detail"], batch["signature"]):
-            if sign is None or sign != sign:
-                if signature is not None:
-                    out.append(("recovered", at_, None, held))
-                signature, last, held = None, None, 0
-            elif signature != sign or at_ > pd.Timestamp(last) + realert:
-                out.append(("alert", at_, text, held if signature is not None else 0))
-                signature, last, held = sign, at_, 0
-            else:
-                held += 1
-        state.update((signature, None if last is None else pd.Timestamp(last).to_pydatetime(), int(held)))
-        found = pd.DataFrame(out, columns=["kind", "checked_at", "detail", "suppressed"])
+        seen = AlertState(signature, None if last is None else pd.Timestamp(last), held)
+        said = [seen.advance(*row, realert) for row in zip(batch["checked_at"], batch["detail"], batch["signature"])]
+        state.update((seen.signature, None if seen.last is None else seen.last.to_pydatetime(), int(seen.held)))
+        found = pd.DataFrame([s for s in said if s], columns=["kind", "checked_at", "detail", "suppressed"])
         found.insert(0, key, k[0])
         yield found
 
     return rows.groupBy(key).applyInPandasWithState(
-        fold, f"`{key}` {key_type}, {_OUT}", _STATE, "append", GroupStateTimeout.NoTimeout)
+        fold, f"`{key}` {key_type}, {ALERT_FIELDS}", _STATE, "append", GroupStateTimeout.NoTimeout)

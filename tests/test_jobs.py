@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_fact import epoch, key
 
 from punctua import plans, sources, streaming
-from punctua.plans.health import alert_rows
+from punctua.plans.health import AlertState
 from punctua.session import shared_dir
 
 T0 = datetime(2026, 9, 1)
@@ -40,10 +40,11 @@ def test_throttle_in_batch_and_stream_agree(spark, tmp_path):
         (r.kind, r.checked_at, r.detail, r.suppressed) for r in got]
 
 
-def test_repeats_in_one_tick_count_once():
-    at = pd.Series([pd.Timestamp(T0), pd.Timestamp(T0 + 6 * HOUR), pd.Timestamp(T0 + 6 * HOUR + timedelta(seconds=1))])
-    d = pd.Series(["x", "x", "x"])
-    assert alert_rows(at, d, d, pd.Timedelta(hours=6))["suppressed"].tolist() == [0, 1]
+def test_an_alert_is_due_strictly_after_the_interval():
+    state, six = AlertState(), pd.Timedelta(hours=6)
+    at = pd.Timestamp(T0)
+    said = [state.advance(at + d, "x", "x", six) for d in (pd.Timedelta(0), six, six + pd.Timedelta(seconds=1))]
+    assert [s and s[3] for s in said] == [0, None, 1]
 
 
 def test_stream_load_takes_each_file_once_and_equals_the_batch(spark, tmp_path):

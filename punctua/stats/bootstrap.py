@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctua.stats.logit import Model, _Cells, _newton, _prepare
+from punctua.stats.logit import Model, _Cells, _kept, _newton, _prepare
 
 __all__ = ["batch_draws", "cluster_bootstrap", "draw_interval", "draws_frame"]
 
@@ -46,14 +45,15 @@ def cluster_bootstrap(df: DataFrame, terms: dict[str, Column], outcome: Column,
     models = [Model(name, tuple(t), outcome) for name, t in specs.items()]
     base, names = _prepare(df, terms, models, None, keep=[batch])
     drawn = batch_draws(df, stratum, batch, reps, seed)
-    weighted = base.df.drop("w").join(drawn, batch).withColumnRenamed("draws", "w").persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = base.df.drop("w").join(drawn, batch).withColumnRenamed("draws", "w")
+    m = len(models)
+    kept, weighted = _kept(weighted, m * reps)
     try:
-        m = len(models)
         cells = _Cells(weighted, base.k, base.ny, reps, np.repeat(base.y_of, reps), np.tile(np.arange(reps), m))
         masks = [np.array([0, *[names.index(t) for t in model.terms]]) for model in models for _ in range(reps)]
         beta, _, _, converged, _ = _newton(cells, masks)
     finally:
-        weighted.unpersist()
+        kept.unpersist()
     ok = converged.reshape(m, reps).all(axis=0)
     draws = [
         {"spec": model.name, "rep": int(r),

@@ -28,6 +28,7 @@ __all__ = [
 INTERCEPT = "Intercept"
 MAX_STEPS, TOLERANCE = 35, 1e-8
 _CHUNK = 2048
+_WORK_PER_TASK = 200_000  # cells x models
 
 
 class FitFailed(RuntimeError):
@@ -237,6 +238,13 @@ def _prepare(df: DataFrame, terms: dict[str, Column], models: Sequence[Model], w
                   np.array([w_names.index(str(m.rows)) for m in models])), names
 
 
+def _kept(df: DataFrame, models: int) -> tuple[DataFrame, DataFrame]:
+    """(persisted cells, the same cells in tasks worth starting): the passes read them many times."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = math.ceil(kept.count() * models / _WORK_PER_TASK)
+    return kept, kept.coalesce(max(1, tasks))
+
+
 def _newton(cells: _Cells, masks: list[np.ndarray]) -> tuple[np.ndarray, list, np.ndarray, np.ndarray, np.ndarray]:
     """Newton steps for all models together. Returns betas, inverse Hessians, steps, converged, (n, hits)."""
     j, k = len(masks), cells.k
@@ -275,7 +283,7 @@ def fit_logits(df: DataFrame, terms: dict[str, Column], models: Sequence[Model],
     stops the run; otherwise it comes back with ``converged`` false.
     """
     cells, names = _prepare(df, terms, models, None)
-    cells.df = cells.df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept, cells.df = _kept(cells.df, len(models))
     try:
         masks = [np.array([0, *[names.index(t) for t in m.terms]]) for m in models]
         beta, inverse, steps, converged, totals = _newton(cells, masks)
@@ -295,7 +303,7 @@ def fit_logits(df: DataFrame, terms: dict[str, Column], models: Sequence[Model],
                 f.clusters = int(g)
         return fits
     finally:
-        cells.df.unpersist()
+        kept.unpersist()
 
 
 def fit_logit(df: DataFrame, terms: dict[str, Column], outcome: Column | str, cluster: str | None = None) -> Fit:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from punctua.catalog import derived
 from punctua.catalog.derived import STAGING_SQL, fact_sql
 from punctua.catalog.registry import Tables, query
-from punctua.functions import datediff_boundary, flag, staleness_bucket, to_double
+from punctua.functions import datediff_boundary, flag, staleness_bucket
 from punctua.operators import asof_join, carry_forward, collapse_with_count, counts, gate_columns, latest_by
 from punctua.plans import FACT_COLUMNS, stage_flights, stage_weather
 

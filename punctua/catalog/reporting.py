@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctua import config
 from punctua.catalog import derived
 from punctua.catalog.derived import STAGING_SQL, fact_sql
 from punctua.catalog.registry import Tables, query
@@ -536,10 +535,6 @@ def fact_fingerprint(t: Tables) -> DataFrame:
     }).select("row_count", "key_count", "delay_total", "weather_rows")
 
 
-def _page_files(t: Tables) -> DataFrame:
-    return t.pages.select(F.col("html").alias("raw_data"), F.col("url").alias("source_file"))
-
-
 @query("load_new_files", """
 with landed as (
   select 'raw/' || o_orderkey || '.json' as source_file, o_orderstatus = 'F' as broken from orders

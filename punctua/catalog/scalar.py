@@ -63,13 +63,6 @@ def offset_discard(t: Tables) -> DataFrame:
                            epoch_utc(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("from_epoch"))
 
 
-_SHIFTED = """
-with shifted as (
-  select event_id, case when event_type = 'error' then null when event_type = 'view' then 'Europe/Nowhere'
-      when event_type = 'click' then 'Asia/Tokyo' else 'America/New_York' end as zone,
-    ts + interval 300 day + make_interval(0, 0, 0) as fall, ts + interval 65 day as spring from events)"""
-
-
 @query("local_to_utc", """
 with shifted as (
   select event_id, case when event_type = 'error' then null when event_type = 'view' then 'Europe/Nowhere'

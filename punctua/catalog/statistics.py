@@ -10,7 +10,7 @@ from punctua.catalog.registry import Tables, query
 from punctua.functions import datediff_boundary, flag
 from punctua.operators import rate_by
 from punctua.session import shared_dir
-from punctua.stats import (Study, Variant, average_marginal_effect, factor, fit_logit, fit_variants, holm,
+from punctua.stats import (Study, Variant, average_marginal_effect, fit_logit, fit_variants, holm,
                            lateness_grid, leave_one_out, number, odds_ratios, percentile_interval, robust_claims,
                            study_summary, two_proportion_z, variant_table, vif, wilson_interval)
 from punctua.streaming import hourly_arrivals, read_latest, start_upsert, write_batch

@@ -35,6 +35,7 @@ MODEL_CARRIERS = ("United Airlines", "Delta Air Lines", "American Airlines", "Al
 BASE_CARRIER = "United Airlines"
 MODEL_AIRPORTS = ("ATL", "EWR", "LAX", "MIA")
 BASE_AIRPORT = "SFO"
+MANUAL_PULLS = ("2026-09-04", "2026-09-05")
 ANY_BRACKET = r"\s*\(.*\)"
 LIVERY_BRACKET = r" *[(][^)]*Livery[)]$"
 FILE_AIRPORT = r"/([A-Z]{3})_"

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from punctua import config
 from punctua.config import DEFAULTS, Settings
-from punctua.functions import batch_date, batch_id, has_keyword, hours_between, merge_livery, time_of_day
+from punctua.functions import batch_date, batch_id, flag, has_keyword, hours_between, merge_livery, time_of_day
 from punctua.operators import measured, rare_to_other, sample_window
 
-__all__ = ["model_sample", "model_table", "new_members", "prepare"]
+__all__ = ["model_sample", "model_table", "new_members", "prepare", "study_rows"]
 
 
 def prepare(fact: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -59,3 +59,20 @@ def new_members(sample: DataFrame, history: DataFrame, col: str = "carrier") ->
     """D6. Values of the sample never seen before, with their row counts."""
     seen = history.select(col).where(F.col(col).isNotNull()).distinct()
     return sample.join(seen, col, "left_anti").groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def study_rows(prepared: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """All prepared rows with the model's columns, and a flag for each part of the sample rule.
+
+    Checks that widen the sample combine the flags differently instead of reading the data again.
+    """
+    day = F.col("pull_date")
+    rows = model_table(prepared).withColumns({
+        "in_window": flag(day.between(F.lit(cfg.first_pull).cast("date"), F.lit(cfg.last_pull).cast("date"))),
+        "early_enough": flag(F.col("hours_before_pull") >= cfg.min_hours_before_pull),
+        "scheduled_operator": ~F.col("is_non_scheduled"),
+        "manual_pull": flag(day.isin(*[F.lit(d).cast("date") for d in config.MANUAL_PULLS])),
+        "date_batch": batch_id("flight_date", "arrival_airport"),
+        "corrected_cargo": (F.col("is_cargo") | F.col("missed_cargo")).cast("int"),
+    })
+    return rows.withColumn("in_sample", F.col("in_window") & F.col("early_enough") & F.col("scheduled_operator"))

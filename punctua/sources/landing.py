@@ -15,9 +15,6 @@ __all__ = [
     "run_loads", "usage_budget",
 ]
 
-RAW_COLUMNS = "raw_data STRING, source_file STRING"
-
-
 def object_key(path: Column, root: str = "raw/") -> Column:
     """The part of a file path from the landing root on, so that moving a bucket changes no key."""
     at = F.instr(path, f"/{root}")

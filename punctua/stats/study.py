@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from punctua.stats.intervals import holm, interval_side
 from punctua.stats.logit import Fit, Model, factor, fit_logits, number, odds_ratios
 
 __all__ = [
-    "Study", "Variant", "delay_study", "fit_variants", "leave_one_out", "lateness_grid", "pairwise_verdict",
+    "Study", "Variant", "delay_checks", "delay_operator_grid", "delay_study", "fit_variants", "leave_one_out", "lateness_grid", "pairwise_verdict",
     "primary_holds", "robust_claims", "study_summary", "variant_table",
 ]
 
@@ -61,6 +60,58 @@ def delay_study(wind: str = "weather_wind_speed") -> Study:
                   **number("cargo"), **number(wind)}, "batch")
 
 
+def _levels(df: DataFrame, col: str) -> list[str]:
+    return sorted(str(r[0]) for r in df.select(col).distinct().collect())
+
+
+def delay_checks(rows: DataFrame, study: Study, wind: str = "weather_wind_speed",
+                 min_carrier: int = 40) -> tuple[list[Variant], dict[str, Column]]:
+    """L13. The checks fixed in advance, over ``study_rows``, and the inputs they add.
+
+    Pulls and frequent carriers become model terms, so their lists are as short as a model is wide.
+    """
+    main = F.col("in_sample")
+    full = tuple(study.controls)
+    calm, no_cargo = tuple(c for c in full if c != wind), tuple(c for c in full if c != "cargo")
+    sample = rows.where(main)
+    pulls = _levels(sample.withColumn("pull", F.col("pull_date").cast("string")), "pull")
+    pull_terms = {f"pull[{d}]": (F.col("pull_date") == F.lit(d).cast("date")).cast("double") for d in pulls[1:]}
+    frequent = _levels(sample.groupBy("carrier").count().where((F.col("count") >= min_carrier)
+                                                              & (F.col("carrier") != config.BASE_CARRIER)), "carrier")
+    listed = F.col("carrier").isin(*frequent, config.BASE_CARRIER)
+    wide = {f"carrier[{c}]": (F.col("carrier") == c).cast("double") for c in frequent}
+    wide["carrier[Other]"] = (~F.coalesce(listed, F.lit(False))).cast("double")
+    wide = {k: F.coalesce(v, F.lit(0.0)) for k, v in wide.items()}
+    others = tuple(c for c in full if not c.startswith("carrier_group["))
+    extra = {**number("scheduled_duration_hours"), **pull_terms, **wide}
+    scheduled = F.col("scheduled_operator")
+    return [
+        Variant("main", full, main), Variant("R1 no wind", calm, main),
+        Variant("R2 + flight length", (*full, "scheduled_duration_hours"),
+                main & F.col("scheduled_duration_hours").isNotNull()),
+        Variant("R3 passenger only", no_cargo, main & (F.col("cargo") == 0)),
+        Variant("R4 + pull indicators", (*full, *pull_terms), main),
+        Variant("R6 + manual pulls (no wind)", calm,
+                scheduled & ((F.col("in_window") & F.col("early_enough")) | F.col("manual_pull")), cluster="date_batch"),
+        Variant("R7 no 2-hour filter", full, F.col("in_window") & scheduled),
+        Variant("R8 lower carrier cut-off", (*others, *wide), main),
+    ], extra
+
+
+def delay_operator_grid(study: Study) -> tuple[list[Variant], dict[str, Column]]:
+    """L19, B14. Samples that treat operators with an untrustworthy schedule differently."""
+    main, full = F.col("in_sample"), tuple(study.controls)
+    corrected = tuple("corrected_cargo" if c == "cargo" else c for c in full)
+    trusted = ~F.col("schedule_is_landing") & ~F.col("missed_cargo") & ~F.col("missed_non_scheduled")
+    return [
+        Variant("as fitted", full, main),
+        Variant("schedule-is-landing operators dropped", full, main & ~F.col("schedule_is_landing")),
+        Variant("corrected keyword lists", corrected, main & ~F.col("missed_non_scheduled")),
+        Variant("scheduled passenger airlines only", tuple(c for c in full if c != "cargo"),
+                main & (F.col("cargo") == 0) & trusted),
+    ], number("corrected_cargo")
+
+
 def _pair(study: Study, v: Variant) -> list[Model]:
     outcome, cluster = study.outcome if v.outcome is None else v.outcome, v.cluster or study.cluster
     return [Model(f"{v.name}|primary", (study.group, *v.controls), outcome, v.rows, cluster),
@@ -151,13 +202,3 @@ def robust_claims(summary: DataFrame, variants: DataFrame, loo: DataFrame, base:
         "comparison", "verdict", F.coalesce(
             (F.col("_sides") == len(interval_checks)) & (F.col("_ways") == len(direction_checks)) & holds,
             F.lit(False)).alias("robust"))
-
-
-def without(study: Study, *controls: str) -> Study:
-    """The same study with some controls dropped."""
-    return replace(study, controls={k: v for k, v in study.controls.items() if k not in controls})
-
-
-def log_odds(fit: Fit, term: str) -> float:
-    """Coefficient of a term."""
-    return float(np.asarray(fit.params)[fit.terms.index(term)])

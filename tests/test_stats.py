@@ -136,3 +136,38 @@ def test_two_proportions_and_power(spark):
     w = S.wilson_interval(spark.createDataFrame([(85, 437)], "late INT, rows INT")).first()
     assert (round(w.ci_low, 3), round(w.ci_high, 3)) == (0.160, 0.234)
     assert S.power(1.58, 0.86, 2.90, 1.1) == pytest.approx(0.29, abs=0.02)
+
+
+def test_the_fixed_checks_run_on_flights(spark):
+    from punctua import plans
+
+    rng = np.random.default_rng(3)
+    n = 4000
+    landed = pd.Timestamp("2026-09-04") + pd.to_timedelta(rng.integers(0, 14, n) * 2, "D") + pd.to_timedelta(
+        rng.integers(0, 9 * 60, n), "m")
+    late = rng.integers(-40, 40, n)
+    names = np.array(["United Airlines", "Delta Air Lines", "American Airlines", "Alaska Airlines (Retro Livery)", "Fedex",
+                      "Jetblue", "Netjets", "21 Air", "Airshare", "Abx Air"])
+    # Cargo and charter carriers stay under the carrier cut-off, or their term would repeat the cargo flag.
+    share = np.array([30, 20, 15, 10, 0.9, 19.1, 2, 1.2, 0.9, 0.9]) / 100
+    pdf = pd.DataFrame({
+        "flight_date": landed.date, "arrival_airport": rng.choice(["ATL", "EWR", "LAX", "MIA", "SFO"], n),
+        "operating_carrier_name": rng.choice(names, n, p=share), "arrival_actual_utc": landed,
+        "arrival_scheduled_utc": landed - pd.to_timedelta(late, "m"),
+        "departure_scheduled_utc": landed - pd.to_timedelta(rng.integers(60, 400, n), "m"),
+        "arrival_scheduled_local": landed - pd.to_timedelta(7 * 60 + late, "m"), "arrival_delay_minutes": late,
+        "is_delayed_arrival": late >= 15, "has_suspect_times": False, "weather_wind_speed": rng.gamma(3, 3, n).round()})
+    rows = plans.study_rows(plans.prepare(spark.createDataFrame(pdf))).cache()
+    study = S.delay_study()
+    checks, extra = S.delay_checks(rows, study)
+    grid, more = S.delay_operator_grid(study)
+    found = S.fit_variants(rows, study, [*checks, *grid], {**extra, **more}, strict=False)
+    assert not [(f.name, f.n, f.hits, f.steps, f.terms) for f in found if not f.converged]
+    fits = {f.name: f for f in found}
+    sizes = rows.agg(F.count_if("in_sample").alias("main"), F.count_if(F.col("in_window") & F.col("scheduled_operator")).alias("r7"),
+                     F.count_if(F.col("in_sample") & (F.col("cargo") == 0)).alias("r3")).first()
+    assert fits["main|primary"].n == sizes.main == plans.model_sample(plans.prepare(spark.createDataFrame(pdf))).count()
+    assert (fits["R7 no 2-hour filter|primary"].n, fits["R3 passenger only|secondary"].n) == (sizes.r7, sizes.r3)
+    assert fits["R6 + manual pulls (no wind)|primary"].n > sizes.main
+    assert any(t.startswith("pull[") for t in fits["R4 + pull indicators|primary"].terms)
+    assert "carrier[Jetblue]" in fits["R8 lower carrier cut-off|primary"].terms and len(fits) == 24

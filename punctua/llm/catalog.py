@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctua.llm.decontaminate import find_leaks
 from punctua.llm.mixing import mix_sources
+from punctua.llm.near_dedup import near_groups
 from punctua.llm.quality_rules import judge_quality
 from punctua.session import pin_utc
 
@@ -35,6 +36,11 @@ def op3_quality_rules(table) -> DataFrame:
     return judge_quality(table("documents"), table("labels")).drop("n_lines")
 
 
+@_query
+def op7_near_dedup(table) -> DataFrame:
+    return near_groups(table("documents"))
+
+
 @_query
 def op9_mix_sources(table) -> DataFrame:
     return mix_sources(table("documents")).drop("copies")

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from punctua.llm.decontaminate import find_leaks
+from punctua.llm.language import held_out, identify_language
 from punctua.llm.mixing import mix_sources
 from punctua.llm.near_dedup import near_groups
 from punctua.llm.quality_rules import judge_quality
+from punctua.llm.toxicity import score_toxicity
 from punctua.session import pin_utc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,11 +38,21 @@ def op3_quality_rules(table) -> DataFrame:
     return judge_quality(table("documents"), table("labels")).drop("n_lines")
 
 
+@_query
+def op5_toxicity(table) -> DataFrame:
+    return score_toxicity(table("documents"), table("labels"))
+
+
 @_query
 def op7_near_dedup(table) -> DataFrame:
     return near_groups(table("documents"))
 
 
+@_query
+def op8_language_id(table) -> DataFrame:
+    return identify_language(table("documents")).withColumn("held_out", held_out())
+
+
 @_query
 def op9_mix_sources(table) -> DataFrame:
     return mix_sources(table("documents")).drop("copies")

@@ -45,13 +45,18 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, pa.Ar
     return before[ends], flat.filter(full)
 
 
-def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """``(offsets, hashes)``: a 64-bit hash of every word; each distinct word of the batch is hashed once."""
+def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """``(offsets, codes, vocabulary)``: every word as a place in the batch's distinct words."""
     offsets, flat = split_words(texts, lower)
     codes = flat.dictionary_encode()
-    distinct = codes.dictionary.cast(pa.large_binary()).to_pylist()
-    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))
-    return offsets, table[codes.indices.to_numpy()] if len(distinct) else np.empty(0, np.uint64)
+    return offsets, codes.indices.to_numpy(), codes.dictionary.cast(pa.large_binary()).to_pylist()
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``(offsets, hashes)``: a 64-bit hash of every word; each distinct word of the batch is hashed once."""
+    offsets, codes, vocabulary = word_codes(texts, lower)
+    table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+    return offsets, table[codes] if len(vocabulary) else np.empty(0, np.uint64)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

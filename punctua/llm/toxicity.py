@@ -8,30 +8,36 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.batches import pieces, word_hashes
+from punctua.llm.batches import pieces, word_codes
 from punctua.llm.common import staged
 
 BUCKETS = 1 << 21  # hashed tokens; the model is at most one number for each, whatever the corpus
 PRIOR = 1.0  # weight of the Dirichlet prior, as a share of the toxic tokens
-CLEAR = 3.0  # standard errors from which a log-odds counts
-DRIFT = 0.1  # cost of a token, so that a segment pays for its length
+CLEAR, EFFECT = 2.5, 1.0  # a log-odds counts if it is over EFFECT by CLEAR standard errors; mild ones follow topic and language
+STEMS = (4, 5, 6, 7, 8)  # leading bytes that count as tokens of their own, so that inflected forms share evidence
+DRIFT = 0.05  # cost of a token, so that a segment pays for its length
 SIGNIFICANT = 0.01
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[65:91] += 32
 _CLEAN[[b for b in range(128) if not chr(b).isalnum()]] = 32
 
 
-def token_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(offsets, buckets)`` of the tokens: runs of ASCII letters, digits and any other non-ASCII characters, A-Z lower-cased."""
+def token_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(offsets, codes, buckets)``: every token as a row of ``buckets``, which has the token's and its stems' hash buckets.
+
+    Tokens are runs of ASCII letters, digits and any non-ASCII characters, A-Z lower-cased.
+    """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    texts = pa.concat_arrays([texts]) if texts.offset else texts
     raw = _CLEAN[np.frombuffer(texts.buffers()[2] or b"", np.uint8)]
-    plain = pa.Array.from_buffers(pa.large_string(), len(texts), [None, texts.buffers()[1], pa.py_buffer(raw)], offset=texts.offset)
-    offsets, hashes = word_hashes(plain)
-    return offsets, (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    plain = pa.Array.from_buffers(pa.large_string(), len(texts), [None, texts.buffers()[1], pa.py_buffer(raw)])
+    offsets, codes, vocabulary = word_codes(plain)
+    hashed = (xxhash.xxh3_64_intdigest(w[:n]) for w in vocabulary for n in (len(w), *(min(n, len(w)) for n in STEMS)))
+    width = 1 + len(STEMS)
+    return offsets, codes, (np.fromiter(hashed, np.uint64, len(vocabulary) * width) % np.uint64(BUCKETS)).astype(np.int64).reshape(-1, width)
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -69,17 +75,24 @@ def held_out() -> Column:
 def token_log_odds(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, float, float]:
     """Token buckets with a clear log-odds, these log-odds, and the fit of the background: ``(buckets, log_odds, rate, drift)``.
 
-    ``labelled`` has ``text, toxic``. Counts of all its tokens are summed by Spark; the prior of a token is its share of all
-    tokens, times ``PRIOR`` times the number of toxic tokens. Log-odds under ``CLEAR`` standard errors are left out. ``rate`` solves ``E exp(rate * s) = 1`` over the tokens of clean documents.
+    ``labelled`` has ``text, toxic``. A token counts once in each document that has it, so one document cannot outvote the others; Spark sums the counts. The prior of a token is its share of all
+    tokens, times ``PRIOR`` times the number of toxic tokens. Only clearly toxic log-odds (:data:`CLEAR`, :data:`EFFECT`) are kept; any other token costs :data:`DRIFT`. ``rate`` solves ``E exp(rate * s) = 1`` over the tokens of clean documents.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            offsets, buckets = token_buckets(part["text"])
-            toxic = np.repeat(part["toxic"].to_numpy(zero_copy_only=False) == 1, np.diff(offsets))
-            kinds, place = np.unique(buckets, return_inverse=True)
-            hits = np.bincount(place, toxic, len(kinds))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(hits.astype(np.int64)), pa.array((np.bincount(place, minlength=len(kinds)) - hits).astype(np.int64))],
+            offsets, codes, buckets = token_buckets(part["text"])
+            document = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+            document, codes = np.divmod(np.unique(document * max(len(buckets), 1) + codes), max(len(buckets), 1))
+            toxic = (part["toxic"].to_numpy(zero_copy_only=False) == 1)[document]
+            hits, all_hits = np.bincount(codes, toxic, len(buckets)), np.bincount(codes, minlength=len(buckets))
+            once = np.ones(buckets.shape, bool)  # a stem as long as the token is the token itself
+            for i in range(1, buckets.shape[1]):
+                once[:, i] = (buckets[:, i, None] != buckets[:, :i]).all(1)
+            kinds, place = np.unique(buckets[once], return_inverse=True)
+            row = np.nonzero(once)[0]
+            n_toxic = np.bincount(place, hits[row], len(kinds)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n_toxic), pa.array(np.bincount(place, all_hits[row], len(kinds)).astype(np.int64) - n_toxic)],
                                              names=["bucket", "toxic", "clean"])
 
     counts = staged(labelled.select("text", "toxic").mapInArrow(count, "bucket bigint, toxic bigint, clean bigint")
@@ -92,8 +105,8 @@ def token_log_odds(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, float,
     a, b = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(a / (n_toxic + weight - a)) - F.log(b / (n_clean + weight - b))
     clear = (counts.select("bucket", "clean", odds.alias("odds"), F.sqrt(1 / a + 1 / b).alias("error"))
-             .where(F.abs("odds") >= CLEAR * F.col("error")).toPandas().sort_values("bucket"))  # at most BUCKETS rows
-    share = np.append(clear["clean"], n_clean - clear["clean"].sum()) / n_clean
+             .where(F.col("odds") - CLEAR * F.col("error") >= EFFECT).toPandas().sort_values("bucket"))  # at most BUCKETS rows
+    share = np.append(clear["clean"], max(n_clean - clear["clean"].sum(), 1)) / n_clean
     score = np.append(clear["odds"], 0.0) - DRIFT
     low, high = 0.0, 64.0
     for _ in range(60):  # the sum falls from 1 at 0, then rises for good if any score is positive
@@ -108,11 +121,11 @@ def find_segments(docs: DataFrame, buckets: np.ndarray, log_odds: np.ndarray, dr
     arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.full(BUCKETS, -drift)
-        table[buckets] += log_odds
+        table = np.zeros(BUCKETS)
+        table[buckets] = log_odds
         for part in pieces(batches):
-            offsets, tokens = token_buckets(part["text"])
-            scores = table[tokens]
+            offsets, codes, features = token_buckets(part["text"])
+            scores = table[features].max(1, initial=0.0)[codes] - drift
             rows = [[{"start": s, "end": e, "score": x} for s, e, x in maximal_segments(scores[a:b])] for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(np.diff(offsets)), pa.array(rows, arrow)], names=["doc_id", "n_tokens", "segments"])
 

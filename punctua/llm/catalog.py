@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from punctua.llm.decontaminate import find_leaks
+from punctua.llm.fm_dedup import remove_repeated_passages
 from punctua.llm.language import held_out, identify_language
 from punctua.llm.mixing import mix_sources
 from punctua.llm.near_dedup import near_groups
 from punctua.llm.quality_rules import judge_quality
+from punctua.llm.suffix_dedup import remove_repeats
 from punctua.llm.toxicity import score_toxicity
 from punctua.session import pin_utc
 
@@ -33,6 +36,12 @@ def op1_decontaminate(table) -> DataFrame:
     return find_leaks(table("documents"), table("benchmark"))
 
 
+@_query
+def op2_suffix_dedup(table) -> DataFrame:
+    return remove_repeats(table("documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query
 def op3_quality_rules(table) -> DataFrame:
     return judge_quality(table("documents"), table("labels")).drop("n_lines")
@@ -56,3 +65,8 @@ def op8_language_id(table) -> DataFrame:
 @_query
 def op9_mix_sources(table) -> DataFrame:
     return mix_sources(table("documents")).drop("copies")
+
+
+@_query
+def op10_substring_dedup(table) -> DataFrame:
+    return remove_repeated_passages(table("documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

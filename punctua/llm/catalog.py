@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from punctua.llm.decontaminate import find_leaks
 from punctua.llm.fm_dedup import remove_repeated_passages
+from punctua.llm.html_layout import extract_text
 from punctua.llm.language import held_out, identify_language
 from punctua.llm.mixing import mix_sources
 from punctua.llm.near_dedup import near_groups
 from punctua.llm.quality_rules import judge_quality
 from punctua.llm.suffix_dedup import remove_repeats
+from punctua.llm.token_edits import count_tokens, redactions
 from punctua.llm.toxicity import score_toxicity
 from punctua.session import pin_utc
 
@@ -70,3 +72,13 @@ def op9_mix_sources(table) -> DataFrame:
 @_query
 def op10_substring_dedup(table) -> DataFrame:
     return remove_repeated_passages(table("documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op4_token_edits(table) -> DataFrame:
+    return count_tokens(redactions(table("documents")))
+
+
+@_query
+def op6_html_layout(table) -> DataFrame:
+    return extract_text(table("pages"))

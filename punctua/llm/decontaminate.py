@@ -73,4 +73,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED)
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED) -> DataFrame:
     """``docs`` without the documents of :func:`find_leaks`; rows with a null id stay."""
-    return docs.join(staged(find_leaks(docs, benchmark, percent).select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*docs.columns)
+    leaks = staged(find_leaks(docs, benchmark, percent).select("doc_id").distinct(), "leaks")
+    return docs.join(leaks, docs["doc_id"] == leaks["doc_id"], "left_anti")

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctua.llm.batches import pieces, split_words, word_hashes
 from punctua.llm.repeats import NO_ID, covered, earlier_windows, with_windows
@@ -125,8 +126,10 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int =
     return _remove(with_windows(rows, earlier_windows(rows, word_symbols, fm_windows, np.uint64, length, gram)), length)
 
 
-def _remove(found: DataFrame, length: int, *keep: str) -> DataFrame:
-    fields = [found.schema[c] for c in keep]
+def _remove(found: DataFrame, length: int, untouched: bool = False, *keep: str) -> DataFrame:
+    """``untouched``: a text of which nothing is removed is returned as it was."""
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+              T.StructField("kept", T.StringType()), *[found.schema[c] for c in keep]]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
@@ -139,9 +142,26 @@ def _remove(found: DataFrame, length: int, *keep: str) -> DataFrame:
             left = flat.filter(pa.array(~gone)).cast(pa.string())
             kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(before, pa.int32()), left), " ")
             n = np.diff(offsets)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(n - np.diff(before)), kept, *[part[f"_{c}"] for c in keep]],
+            if untouched:
+                kept = pc.if_else(pa.array(n == np.diff(before)), part["text"], kept)
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(n - np.diff(before)), kept, *[part[c] for c in keep]],
                                              names=["doc_id", "n_words", "n_removed", "kept", *keep])
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return found.withColumnsRenamed({c: f"_{c}" for c in keep}).mapInArrow(
-        remove, f"doc_id bigint, n_words bigint, n_removed bigint, kept string{kinds}").withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return found.mapInArrow(remove, T.StructType(fields)).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+
+
+def strip_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated passages removed from the texts; documents of which no word is left go.
+
+    Texts without a repeated passage stay as they are, in the others the remaining words are joined by one space. ``n_chars``, if there is one, follows the text.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text",
+                       F.struct(F.lit(True).alias("present"), *[docs[c] for c in others]).alias("others"))
+    windows = earlier_windows(rows.select("doc_id", "text"), word_symbols, fm_windows, np.uint64, length, gram)
+    left = _remove(with_windows(rows, windows), length, True, "others").where("n_removed = 0 or n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    columns = {c: F.col("others")[c] for c in others} | {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept")}
+    if "n_chars" in others:
+        columns["n_chars"] = F.when(changed, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return left.select(*[columns[c].alias(c) for c in docs.columns])

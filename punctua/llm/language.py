@@ -8,9 +8,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctua.llm.batches import pieces
 from punctua.llm.common import staged
@@ -21,6 +21,7 @@ SPACE_BITS = 18
 SAMPLE = 1200  # labelled documents that the model is fitted on, all languages together
 LANDMARKS = 400
 RIDGE = 0.05
+LEAST = 0.35  # score under which no language claims a text; one of two equal claims has 0.5
 
 
 def present_grams(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -132,8 +133,21 @@ def identify_language(docs: DataFrame, model: KernelModel | None = None, keep: t
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(best, pa.string()), pa.array(top, pa.float64()), *[part[f"_{c}"] for c in keep]],
                                              names=["doc_id", "lang_pred", "score", *keep])
 
-    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return rows.mapInArrow(score, f"doc_id bigint, lang_pred string, score double{kinds}")
+    return rows.mapInArrow(score, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()),
+                                                T.StructField("score", T.DoubleType()), *fields]))
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """``docs`` without the documents that no language claims: without text or letter, or with a score under ``least``.
+
+    Where there is nothing to learn a language from, texts with a letter stay.
+    """
+    model = fit_languages(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    row = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    found = identify_language(row, model, ("row",)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def held_out() -> Column:

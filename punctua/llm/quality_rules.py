@@ -123,7 +123,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", ris
     lower quality counts; repeated rows are judged alike. Without labels only the base rules apply; an empty table gives no rows.
     """
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    measured = staged(measure(docs.withColumnRenamed(stratum, "stratum").select("doc_id", "text", "stratum"), "stratum")
+    measured = staged(measure(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), "stratum")
                       .withColumn("base_failed", base), "quality-measures")
     marks = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     cutoffs = staged(choose_cutoffs(measured.where("not base_failed").join(marks, "doc_id"), risk, error)

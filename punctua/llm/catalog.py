@@ -13,6 +13,7 @@ from punctua.llm.html_layout import extract_text
 from punctua.llm.language import held_out, identify_language
 from punctua.llm.mixing import mix_sources
 from punctua.llm.near_dedup import near_groups
+from punctua.llm.oracles import DECONTAMINATE, quality_sql
 from punctua.llm.quality_rules import judge_quality
 from punctua.llm.suffix_dedup import remove_repeats
 from punctua.llm.token_edits import count_tokens, redactions
@@ -20,7 +21,7 @@ from punctua.llm.toxicity import score_toxicity
 from punctua.session import pin_utc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op3_quality_rules": quality_sql()}
 
 
 def _query(fn: Callable[..., DataFrame]):

@@ -481,10 +481,9 @@ _CHECKS = ("case event_type when 'error' then 'stale for 3h' when 'view' then 's
 
 @query("alert_throttle", f"""
 with recursive results as (
-  select user_id::varchar as "check", ts as checked_at, {_CHECKS} as detail from events
-  qualify row_number() over (partition by user_id, date_trunc('minute', ts) order by ts desc, detail desc nulls last) = 1),
+  select user_id::varchar as "check", ts as checked_at, {_CHECKS} as detail from events),
 numbered as (
-  select *, row_number() over (partition by "check" order by checked_at) as i,
+  select *, row_number() over (partition by "check" order by checked_at, detail nulls first) as i,
     regexp_replace(detail, '\\d+(\\.\\d+)?h\\b', 'Nh') as sig from results),
 walk as (
   select "check", i, checked_at, detail, sig, case when sig is not null then 'alert' end as kind,
@@ -500,7 +499,7 @@ walk as (
     case when n.sig is not null and w.sig is not distinct from n.sig and n.checked_at <= w.last_at + interval 6 hour
          then w.held + 1 else 0 end,
     w.held
-  from walk w join numbered n on n."check" = w."check" and n.i = w.i + 1)
+  from walk w join numbered n on n."check" is not distinct from w."check" and n.i = w.i + 1)
 select "check", kind, checked_at, detail, said as suppressed from walk where kind is not null""")
 def alert_throttle(t: Tables) -> DataFrame:
     """J6. Announce a problem at once, on change, at most every 6 hours, and its end once."""

@@ -130,31 +130,30 @@ class AlertState:
 
 
 def throttle_alerts(results: DataFrame, key: str = "check", at: str = "checked_at", detail: str = "detail",
-                    realert_hours: float = DEFAULTS.realert_hours, tick_seconds: int = 60) -> DataFrame:
+                    realert_hours: float = DEFAULTS.realert_hours) -> DataFrame:
     """J6. Which check results to announce, and how many repeats each announcement stands for.
 
     A new problem is announced at once, again when its wording changes, and otherwise at most every
-    ``realert_hours``; the end of a problem is announced once. Results are first reduced to the last one
-    per key and tick, on the map side, so a key holds at most one row per tick however many rows arrive.
+    ``realert_hours``; the end of a problem is announced once. Every result counts, in order of time and, at one
+    time, of wording (no problem first). A NULL key is a key of its own; results without a time come first.
     """
-    tick = F.floor(F.unix_seconds(F.col(at).cast("timestamp")) / F.lit(tick_seconds))
-    last = results.groupBy(F.col(key), tick.alias("_tick")).agg(
-        F.max(F.struct(F.col(at).alias("checked_at"), F.col(detail).alias("detail"))).alias("_r"))
-    rows = last.select(key, "_r.checked_at", "_r.detail").withColumn("signature", problem_signature("detail"))
+    rows = results.select(key, F.col(at).alias("checked_at"), F.col(detail).alias("detail"),
+                          problem_signature(detail).alias("signature"))
     realert = pd.Timedelta(hours=realert_hours)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, AlertState()
+        current, state = [], AlertState()
         for batch in batches:
             out = []
             for k, when, text, sign in zip(batch[key], batch["checked_at"], batch["detail"], batch["signature"]):
-                if k != current:
-                    current, state = k, AlertState()
+                k = None if k != k else k
+                if [k] != current:
+                    current, state = [k], AlertState()
                 said = state.advance(when, text, sign, realert)
                 if said:
                     out.append((k, *said))
             yield pd.DataFrame(out, columns=[key, "kind", "checked_at", "detail", "suppressed"])
 
     # Keys arrive whole and in time order, one after another, so a task remembers one key's state only.
-    ordered = rows.where(F.col(key).isNotNull()).repartition(key).sortWithinPartitions(key, "checked_at")
+    ordered = rows.repartition(key).sortWithinPartitions(key, "checked_at", F.asc_nulls_first("detail"))
     return ordered.mapInPandas(fold, f"`{key}` {dict(rows.dtypes)[key]}, {ALERT_FIELDS}").withColumnRenamed("checked_at", at)

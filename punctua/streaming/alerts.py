@@ -28,7 +28,7 @@ def stream_alerts(results: DataFrame, key: str = "check", at: str = "checked_at"
     key_type = dict(rows.dtypes)[key]
 
     def fold(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(parts)).sort_values("checked_at", kind="stable")
+        batch = pd.concat(list(parts)).sort_values(["checked_at", "detail"], kind="stable", na_position="first")
         signature, last, held = state.get if state.exists else (None, None, 0)
         seen = AlertState(signature, None if last is None else pd.Timestamp(last), held)
         said = [seen.advance(*row, realert) for row in zip(batch["checked_at"], batch["detail"], batch["signature"])]

@@ -66,22 +66,45 @@ def test_stream_load_takes_each_file_once_and_equals_the_batch(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
 
 
-def test_late_readings_refresh_only_from_their_day_on(spark):
-    raw = documents(spark, [(key(i), {"data": [flight(
-        iata=f"AA{i}", day=f"2026-09-{d}", dep_sched=f"2026-09-{d}T10:00:00", dep_act=f"2026-09-{d}T10:00:00",
-        arr_sched=f"2026-09-{d}T13:00:00", arr_act=f"2026-09-{d}T13:00:00")]}) for i, d in enumerate((14, 16, 18))])
+def test_every_result_counts_for_the_throttle(spark):
+    schema = "check STRING, checked_at TIMESTAMP_NTZ, detail STRING"
+    rows = [("a", T0, "down"), ("a", T0 + timedelta(seconds=45), None), (None, T0, "down"), (None, T0 + HOUR, "down"), (None, T0 + 2 * HOUR, None)]
+    got = {(r.check, r.kind, r.checked_at, r.suppressed) for r in plans.throttle_alerts(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {("a", "alert", T0, 0), ("a", "recovered", T0 + timedelta(seconds=45), 0), (None, "alert", T0, 0), (None, "recovered", T0 + 2 * HOUR, 1)}
+
+
+def test_refresh_equals_a_rebuild(spark):
+    def landed(n, day, arrival, pull=0):
+        return key(n + 100 * pull), {"data": [flight(iata=f"AA{n}", day=f"2026-09-{day}", dep_sched=f"2026-09-{day}T10:00:00",
+                                                     dep_act=f"2026-09-{day}T10:00:00", arr_sched=f"2026-09-{day}T13:00:00", arr_act=arrival)]}
+
+    first = [landed(i, d, f"2026-09-{d}T13:00:00") for i, d in enumerate((14, 16, 18))]
+    # one pulled again with an arrival two days later, one new without an arrival
+    second = [landed(0, 14, "2026-09-16T12:40:00", pull=1), landed(7, 15, None)]
     w = [("raw/weather/a/SFO_1.json", reading(epoch(2026, 9, 14, 19), wind=1.0)),
          ("raw/weather/b/SFO_2.json", reading(epoch(2026, 9, 16, 19, 30), wind=2.0))]
-    flights, dim = plans.stage_flights(raw), airports(spark)
-    before = plans.build_fact(flights, plans.stage_weather(documents(spark, w[:1])), dim)
-    after = plans.build_fact(flights, plans.stage_weather(documents(spark, w)), dim)
-    late = plans.stage_weather(documents(spark, w[1:])).select(
-        F.col("iata_code").alias("arrival_airport"), F.col("observed_at").alias("arrival_actual_utc"))
+    dim = airports(spark)
+
+    def fact(files, readings):
+        return plans.build_fact(plans.stage_flights(documents(spark, files)), plans.stage_weather(documents(spark, readings)), dim)
+
+    before, after = fact(first, w[:1]), fact(first + second, w)
+    events = after.drop(*[c for c in after.columns if c.startswith("weather_")], "has_weather_match")
     readings = plans.series_readings(plans.stage_weather(documents(spark, w)))
-    events = before.drop(*[c for c in before.columns if c.startswith("weather_")], "has_weather_match")
-    fresh = streaming.refresh_buckets(before, events, readings, late)
-    pick = lambda df: sorted((r.flight_event_key, r.weather_lag_minutes, r.weather_wind_speed) for r in df.collect())
-    assert pick(fresh) == pick(after) != pick(before)
+    late_events = fact(second, w).select("flight_event_key")
+    late_readings = plans.stage_weather(documents(spark, w[1:])).select(F.col("iata_code").alias("arrival_airport"), "observed_at")
+    fresh = streaming.refresh_events(before, events, readings, late_events, late_readings)
+    rows = lambda df: sorted(map(str, df.select(*after.columns).collect()))
+    assert fresh.count() == 4 and rows(fresh) == rows(after) != rows(before)
+    assert rows(streaming.refresh_events(before, events, readings)) == rows(before)
+
+
+def test_compacted_table_has_one_row_per_key(spark, tmp_path):
+    order = lambda: [F.desc("v")]
+    for i in range(3):
+        streaming.write_batch(spark.createDataFrame([(k, i) for k in range(5 - i)], "k INT, v INT"), i, f"{tmp_path}/t")
+    streaming.compact(spark, f"{tmp_path}/t", f"{tmp_path}/c", ["k"], order)
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/c").collect()) == [(0, 2), (1, 2), (2, 2), (3, 1), (4, 0)]
 
 
 def test_usage_budget(spark):

@@ -123,12 +123,12 @@ def staleness_buckets(t: Tables) -> DataFrame:
 
 
 @query("carry_forward", """
-select event_id, user_id, ts, last_value(case when event_type = 'error' then value end ignore nulls)
-  over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as last_error
+select event_id, user_id, date_trunc('hour', ts) as ts, last_value(case when event_type = 'error' then value end ignore nulls)
+  over (partition by user_id order by date_trunc('hour', ts), event_id rows between unbounded preceding and current row) as last_error
 from events""")
 def carry_forward_query(t: Tables) -> DataFrame:
     """F6. The last error value known at each event, by the as-of join, so no user is one sorted group."""
-    errors = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "error", F.col("value")).alias("v"))
+    errors = t.events.select("event_id", "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), F.when(F.col("event_type") == "error", F.col("value")).alias("v"))
     return carry_forward(errors, ["user_id"], "ts", "v", "event_id", "last_error").drop("v")
 
 

@@ -105,10 +105,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
 def carry_forward(df: DataFrame, by: Sequence[str], at: str, col: str, tie: str, name: str | None = None) -> DataFrame:
     """F6. Last known value of ``col`` at or before each row's time; NULL values are skipped.
 
-    Rows of one time share the value that comes last by ``tie``. It is an as-of join of the table with
-    its own known values, so a long series is split by time instead of sorted as one group.
+    Rows of one time are in order of ``tie``: a row sees values up to its own. Earlier times come from an as-of join of the
+    table with its own known values (moved on by a microsecond, the finest step of a timestamp), so a long series is split by time
+    instead of sorted as one group; only rows that share a time are sorted together.
     """
-    known = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(at).alias("_known_at")).agg(
+    known = df.where(F.col(col).isNotNull()).groupBy(*by, (F.col(at) + F.expr("INTERVAL '0.000001' SECOND")).alias("_known_at")).agg(
         F.max_by(col, tie).alias("_known"))
-    carried = asof_join(df, known, by, at, "_known_at", ["_known"])
-    return carried.withColumn(name or col, F.col("_known")).drop("_known_at", "_known")
+    together = Window.partitionBy(*by, at).orderBy(tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = df.withColumn("_seen", F.last(col, ignorenulls=True).over(together))
+    carried = asof_join(seen, known, by, at, "_known_at", ["_known"])
+    return carried.withColumn(name or col, F.coalesce("_seen", "_known")).drop("_known_at", "_known", "_seen")

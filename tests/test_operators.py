@@ -107,3 +107,11 @@ def test_plans_hold_no_cross_join_and_no_broadcast_hint(spark):
     right = spark.createDataFrame([("a", T0, 1)], "k STRING, seen TIMESTAMP_NTZ, v INT")
     plan = O.asof_join(left, right, ["k"], "t", "seen", ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert "ResolvedHint" not in plan and "Cartesian" not in plan and "Join Cross" not in plan
+
+
+def test_carry_forward_never_looks_ahead_inside_a_tie(spark):
+    t = datetime(2026, 9, 1)
+    rows = [("a", t, 1, 5.0), ("a", t + timedelta(hours=1), 2, None), ("a", t + timedelta(hours=1), 3, 7.0), ("a", t + timedelta(hours=1), 4, None),
+            ("a", t + timedelta(hours=2), 5, None), ("b", t, 6, None)]
+    got = O.carry_forward(spark.createDataFrame(rows, "k STRING, at TIMESTAMP_NTZ, id INT, v DOUBLE"), ["k"], "at", "v", "id", "last").orderBy("id").collect()
+    assert [r.last for r in got] == [5.0, 5.0, 7.0, 7.0, 7.0, None]

@@ -10,8 +10,8 @@ from punctua.catalog.derived import title_sql
 from punctua.catalog.registry import Tables, query
 from punctua.functions import (batch_date, batch_id, bin_right_closed, capture, clean_name, datediff_boundary,
                                delay_minutes, epoch_utc, event_key, first_known, flag, has_keyword, hours_between,
-                               is_dst_ambiguous, late_at, local_to_utc, map_values, merge_livery, outside, safe_number,
-                               time_of_day, time_of_day_order, title_case, wall_time)
+                               late_at, map_values, merge_livery, outside, safe_number,
+                               time_of_day, time_of_day_order, title_case, wall_time, with_utc)
 from punctua.operators import (distinct_count, in_scope, left_from_dim, missing_members, rare_to_other, union_keys,
                                unmapped_values)
 from punctua.plans import flatten_records, has_retimed_schedule, has_suspect_times
@@ -85,9 +85,9 @@ def local_to_utc_query(t: Tables) -> DataFrame:
             .otherwise("America/New_York"))
     moved = t.events.select("event_id", zone.alias("zone"), *[
         (F.col("ts") + F.make_dt_interval(days=F.lit(d))).alias(n) for n, d in (("fall", 300), ("spring", 65))])
-    return moved.select("event_id", "zone", *[
-        f(("zone"), n).alias(f"{n}_{suffix}") for n in ("fall", "spring")
-        for f, suffix in ((is_dst_ambiguous, "ambiguous"), (local_to_utc, "utc"))])
+    for n in ("fall", "spring"):
+        moved = with_utc(moved, [("zone", n, f"{n}_utc")], f"{n}_ambiguous")
+    return moved.drop("fall", "spring")
 
 
 @query("delay_minutes", """
@@ -105,7 +105,8 @@ def delay_minutes_query(t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", zone.alias("zone"),
         (F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("l_partkey") % 86400).cast("decimal(18,6)"))).alias("a"),
         (F.col("l_shipdate") + F.make_dt_interval(secs=((F.col("l_suppkey") * 61) % 86400).cast("decimal(18,6)"))
-         ).alias("b")).withColumns({"a_utc": local_to_utc("zone", "a"), "b_utc": local_to_utc("zone", "b")})
+         ).alias("b"))
+    timed = with_utc(timed, [("zone", "a", "a_utc"), ("zone", "b", "b_utc")], "unclear")
     return timed.select("l_orderkey", "l_linenumber", "l_partkey",
                         delay_minutes("a_utc", "b_utc", "a", "b").alias("delay"),
                         datediff_boundary("hour", "a", "b").alias("hours"),

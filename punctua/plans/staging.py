@@ -31,10 +31,13 @@ WEATHER_DOCUMENT = (
 
 def flatten_records(raw: DataFrame, record: str, path: str = "data", raw_col: str = "raw_data",
                     name: str = "r") -> DataFrame:
-    """B1. One row per record of a document's list; a document with no records gives no rows."""
+    """B1. One row per record of a document's list; a document with no records gives no rows.
+
+    Records are read one by one, so one of another type becomes a record of NULL fields and leaves the others as they are.
+    """
     kept = [c for c in raw.columns if c != raw_col]
-    parsed = F.from_json(F.col(raw_col), f"`{path}` ARRAY<{record}>")
-    return raw.select(*kept, F.explode(parsed[path]).alias(name))
+    listed = raw.select(*kept, F.explode(F.from_json(F.col(raw_col), f"`{path}` ARRAY<STRING>")[path]).alias("_record"))
+    return listed.select(*kept, F.from_json("_record", record).alias(name))
 
 
 def stage_flights(raw: DataFrame) -> DataFrame:

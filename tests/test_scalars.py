@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from punctua import config
+from punctua import config, plans
 from punctua import functions as X
 
 
@@ -109,3 +109,16 @@ def test_carrier_code(spark):
     assert one(spark, X.carrier_code(F.lit("DL1589"), n, F.lit("VS"), n, n, n),
                X.carrier_code(n, F.lit("YX"), n, n, n, F.lit("LXJ12")),
                X.carrier_code(n, n, n, F.lit("LXJ"), n, n)) == ("DL", "LXJ", "LXJ")
+
+
+def test_zones_without_a_region_convert(spark):
+    rows = spark.createDataFrame([(z, datetime(2026, 7, 1, 12)) for z in ("GMT", "Japan", "EST5EDT", "Singapore", "Mars/Base")], "z STRING, w TIMESTAMP_NTZ")
+    got = {r.z: r.u for r in rows.select("z", X.local_to_utc("z", "w").alias("u")).collect()}
+    assert got == {"GMT": datetime(2026, 7, 1, 12), "Japan": datetime(2026, 7, 1, 3), "EST5EDT": datetime(2026, 7, 1, 16),
+                   "Singapore": datetime(2026, 7, 1, 4), "Mars/Base": None}
+
+
+def test_one_bad_record_leaves_the_others(spark):
+    raw = spark.createDataFrame([(1, '{"data": [{"a": "x"}, 7, "text", null, {"a": 2}]}'), (2, '{"data": []}'), (3, "<html>")], "id INT, raw_data STRING")
+    got = plans.flatten_records(raw, "STRUCT<a: STRING>").select("id", "r.a").collect()
+    assert [(r.id, r.a) for r in got] == [(1, "x"), (1, None), (1, None), (1, None), (1, "2")]

@@ -56,9 +56,14 @@ def first_error(raw: Column | str) -> Column:
 
 
 def load_new_files(landed: DataFrame, loaded: DataFrame | None) -> DataFrame:
-    """A2 (batch form). Landed files the table does not hold yet, each once, with their load status."""
-    once = landed.dropDuplicates(["source_file"])
-    fresh = once if loaded is None else once.join(loaded.select("source_file").distinct(), "source_file", "left_anti")
+    """A2 (batch form). Landed files the table does not hold yet, each once, with their load status.
+
+    Names meet the ledger first; bodies only of new files go on.
+    """
+    names = landed.select("source_file").distinct()
+    if loaded is not None:
+        names = names.join(loaded.select("source_file").distinct(), "source_file", "left_anti")
+    fresh = landed.join(names, "source_file", "left_semi").dropDuplicates(["source_file"])
     error = first_error("raw_data")
     return fresh.select("raw_data", "source_file", error.alias("first_error"),
                         F.when(error.isNull(), "LOADED").otherwise("LOAD_FAILED").alias("status"))

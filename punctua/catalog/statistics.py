@@ -182,15 +182,15 @@ select date_trunc('hour', ts) as hour, event_type, count(*) as rows, max(ts) as
 def stream_hourly(t: Tables) -> DataFrame:
     """K4. Hourly counts on event time. Every event is on time within the watermark, so all hours close."""
     root = shared_dir(t.spark, "hourly")
-    write_batch(t.events.select("ts", "event_type"), 0, f"{root}/landing")
+    real = t.events.select("ts", "event_type", F.lit(True).alias("real"))
+    write_batch(real, 0, f"{root}/landing")
     # A row far ahead moves the watermark past the last real hour; it is left out of the result.
     ahead = t.events.agg(F.max("ts").alias("ts")).select(
-        (F.col("ts") + F.make_dt_interval(days=F.lit(2))).alias("ts"), F.lit(None).cast("string").alias("event_type"))
+        (F.col("ts") + F.make_dt_interval(days=F.lit(2))).alias("ts"), F.lit(None).cast("string").alias("event_type"), F.lit(False).alias("real"))
     write_batch(ahead, 1, f"{root}/landing")
-    schema = t.events.select("ts", "event_type").schema
-    stream = t.spark.readStream.schema(schema).parquet(f"{root}/landing/*")
-    hourly = hourly_arrivals(stream, "ts", ["event_type"])
+    stream = t.spark.readStream.schema(real.schema).parquet(f"{root}/landing/*")
+    hourly = hourly_arrivals(stream, "ts", ["event_type", "real"], delay="2 hours")
     (hourly.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
      .option("path", f"{root}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination())
-    return t.spark.read.parquet(f"{root}/out").where("event_type is not null").select(
+    return t.spark.read.parquet(f"{root}/out").where("real").select(
         F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "rows", F.col("newest").cast("timestamp_ntz").alias("newest"))

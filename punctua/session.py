@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +32,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _scratch() -> str:
+    """One scratch folder for the whole application, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="punctua-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint folder, or a scratch one where none is named.
 
@@ -38,11 +49,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="punctua-")
+        root = _scratch()
     return f"{root.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give the context a reliable checkpoint folder if it has none yet."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))

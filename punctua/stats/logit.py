@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from punctua.stats.intervals import Z95
 
 __all__ = [
-    "Fit", "FitFailed", "Model", "average_marginal_effect", "design_matrix", "factor", "fit_logit", "fit_logits",
+    "Fit", "FitFailed", "Model", "average_marginal_effect", "factor", "fit_logit", "fit_logits",
     "number", "odds_ratios", "vif",
 ]
 
@@ -42,16 +42,12 @@ def number(name: str, column: Column | str | None = None) -> dict[str, Column]:
 
 
 def factor(col: str, levels: Sequence, base) -> dict[str, Column]:
-    """L3. One indicator per level except the base. The levels are given, so term names never move."""
-    return {f"{col}[{v}]": F.when(F.col(col).isNotNull(), (F.col(col) == F.lit(v)).cast("double"))
+    """L3. One indicator per level except the base. The levels are given, so term names never move; a value that is none of them fails the fit."""
+    unlisted = F.raise_error(F.concat(F.lit(f"{col}: not a listed level: "), F.col(col).cast("string"))).cast("double")
+    return {f"{col}[{v}]": F.when(F.col(col).isin(*levels), (F.col(col) == F.lit(v)).cast("double")).when(F.col(col).isNotNull(), unlisted)
             for v in levels if v != base}
 
 
-def design_matrix(df: DataFrame, terms: dict[str, Column]) -> DataFrame:
-    """L3. The design as columns, intercept first."""
-    return df.select(F.lit(1.0).alias(INTERCEPT), *[c.alias(n) for n, c in terms.items()])
-
-
 @dataclass(frozen=True)
 class Model:
     """One model: which terms (of the shared design), which outcome, which rows, which clusters."""

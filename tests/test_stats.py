@@ -171,3 +171,11 @@ def test_the_fixed_checks_run_on_flights(spark):
     assert fits["R6 + manual pulls (no wind)|primary"].n > sizes.main
     assert any(t.startswith("pull[") for t in fits["R4 + pull indicators|primary"].terms)
     assert "carrier[Jetblue]" in fits["R8 lower carrier cut-off|primary"].terms and len(fits) == 24
+
+
+def test_an_unlisted_level_is_refused(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "g STRING")
+    terms = S.factor("g", ["a", "b"], "a")
+    assert [r[0] for r in df.select(*[c.alias(n) for n, c in terms.items()]).collect()] == [0.0, 1.0, None]
+    with pytest.raises(Exception, match="not a listed level"):
+        df.union(spark.createDataFrame([("c",)], "g STRING")).select(*[c.alias(n) for n, c in terms.items()]).collect()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from punctua.llm.batches import pieces, word_codes
 from punctua.llm.common import staged
 
+SAMPLE = 10_000  # labelled documents of either label that the log-odds are fitted on; calibration uses all
 BUCKETS = 1 << 21  # hashed tokens; the model is at most one number for each, whatever the corpus
 PRIOR = 1.0  # weight of the Dirichlet prior, as a share of the toxic tokens
 CLEAR, EFFECT = 2.5, 1.0  # a log-odds counts if it is over EFFECT by CLEAR standard errors; mild ones follow topic and language
@@ -146,10 +147,11 @@ def _logistic(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, held_out, score, predicted, n_tokens, top, passages`` for every document.
 
-    Labels count only for ids with ``crc32(doc_id) mod 5 <> 0``. Token log-odds come from all these documents. A text's
+    Labels count only for ids with ``crc32(doc_id) mod 5 <> 0``. Token log-odds come from at most ``sample`` documents of either label, those with
+    the lowest hashes of ids, so only a bounded list of ids meets the texts. A text's
     best segment ``S`` among ``n`` tokens is an extreme value: ``K n exp(-rate S)`` segments as good are expected by chance, with ``K``
     from the mean of clean documents (Gumbel). The score is a logistic fit of the label on the logarithm of that number;
     ``passages`` are the segments with an expectation up to :data:`SIGNIFICANT`.
@@ -158,7 +160,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels of repeated rows count once for each row. Without labels of both kinds all scores are 0 (or 1 if all are toxic).
     """
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_remainder(5) != 0)
-    train = docs.select("doc_id", "text").where(_remainder(5) != 0).join(marks, "doc_id").select("text", "toxic")
+    marks = staged(marks, "toxic-labels")
+    drawn = [marks.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for kind in (0, 1)]
+    drawn = staged(drawn[0].union(drawn[1]), "toxic-sample")
+    train = docs.select("doc_id", "text").where(_remainder(5) != 0).join(drawn, "doc_id").select("text", "toxic")
     buckets, odds, rate, drift = token_log_odds(train)
     top = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
     found = staged(find_segments(docs, buckets, odds, drift).withColumn("top", top), "toxic-segments")

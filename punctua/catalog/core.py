@@ -172,9 +172,9 @@ def fact_events(t: Tables) -> DataFrame:
 
 @query("fact_wind_at_schedule", fact_sql("""
 select f.flight_event_key, f.arrival_scheduled_utc,
-  case when epoch_us(f.arrival_scheduled_utc) - epoch_us(w.observed_at) <= 7200000000 then w.wind_speed end
+  case when epoch_us(f.arrival_scheduled_utc) - epoch_us(r.observed_at) <= 7200000000 then r.w.wind_speed end
     as wind_at_schedule
-from fact f asof left join weather w on f.arrival_airport = w.iata_code and f.arrival_scheduled_utc >= w.observed_at"""))
+from fact f asof left join reading r on f.arrival_airport = r.iata_code and f.arrival_scheduled_utc >= r.observed_at"""))
 def fact_wind_at_schedule(t: Tables) -> DataFrame:
     """D3, L16. The reading at the scheduled time, which no delay can move."""
     return derived.fact_table(t).select("flight_event_key", "arrival_scheduled_utc", "wind_at_schedule")

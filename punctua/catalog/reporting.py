@@ -49,10 +49,12 @@ def report_average_delays(t: Tables) -> DataFrame:
 
 
 @query("report_leaderboard", fact_sql("""
-select regexp_replace(operating_carrier_name, ' *[(][^)]*Livery[)]$', '') as carrier, count(*) as flights,
-  round(avg(arrival_delay_minutes), 1) as avg_arr_delay,
-  round(100.0 * count_if(is_delayed_arrival) / count(*), 1) as pct_late
-from fact where not has_suspect_times group by 1 having count(*) >= 5 order by pct_late desc, carrier limit 15"""))
+,
+per as (
+  select regexp_replace(operating_carrier_name, ' *[(][^)]*Livery[)]$', '') as carrier,
+    list(arrival_delay_minutes) as delays, list(is_delayed_arrival::int) as late from fact where not has_suspect_times group by all),
+shares as (select carrier, len(late) as flights, round(list_avg(delays), 1) as avg_arr_delay, round(100.0 * list_sum(late) / len(late), 1) as pct_late from per)
+from shares where flights >= 5 qualify row_number() over (order by pct_late desc, carrier) <= 15"""))
 def report_leaderboard(t: Tables) -> DataFrame:
     """E4, B13, G1."""
     return leaderboard(derived.fact_table(t))
@@ -67,13 +69,11 @@ def report_scope_share(t: Tables) -> DataFrame:
 
 
 @query("report_conditions", fact_sql(""",
-ranked as (
-  select weather_main, row_number() over (order by count(*) desc, weather_main) as rn from fact
-  where has_weather_match and not has_suspect_times and weather_main is not null group by 1)
-select f.arrival_airport as airport, case when r.rn <= 3 then f.weather_main else 'Other' end as condition,
-  least(min(r.rn), 4)::int as rank, count(*) as flights, round(avg(f.arrival_delay_minutes), 1) as avg_arr_delay
-from fact f join ranked r on r.weather_main = f.weather_main
-where f.has_weather_match and not f.has_suspect_times group by 1, 2"""))
+trusted as (from fact where has_weather_match and not has_suspect_times and weather_main is not null),
+top as (select list(weather_main order by n desc, weather_main)[:3] as names from (select weather_main, count(*) as n from trusted group by all)),
+placed as (select arrival_airport as airport, arrival_delay_minutes, weather_main, list_position(names, weather_main) as place from trusted, top)
+select airport, if(place is null, 'Other', weather_main) as condition, coalesce(place, 4)::int as rank, count(*) as flights,
+  round(avg(arrival_delay_minutes), 1) as avg_arr_delay from placed group by all"""))
 def report_conditions(t: Tables) -> DataFrame:
     """E6, D4, F4."""
     return condition_by_airport(derived.fact_table(t))
@@ -94,9 +94,10 @@ def report_label_histogram(t: Tables) -> DataFrame:
 
 
 @query("report_staleness", fact_sql("""
-select case when not has_weather_match then 'd. too stale, discarded' when weather_lag_minutes <= 30 then 'a. 0-30 min'
-  when weather_lag_minutes <= 60 then 'b. 31-60 min' else 'c. 61 min to threshold' end as bucket, count(*) as flights
-from fact where weather_lag_minutes is not null group by 1"""))
+,
+classes(bucket, low, high) as (values ('a. 0-30 min', -1000000, 30), ('b. 31-60 min', 30, 60), ('c. 61 min to threshold', 60, 120),
+  ('d. too stale, discarded', 120, 1000000000))
+select bucket, count(*) as flights from fact join classes on weather_lag_minutes > low and weather_lag_minutes <= high group by bucket"""))
 def report_staleness(t: Tables) -> DataFrame:
     """E8, B32."""
     return staleness_histogram(derived.fact_table(t))

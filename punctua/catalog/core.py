@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from punctua.catalog import derived
 from punctua.catalog.derived import STAGING_SQL, fact_sql
 from punctua.catalog.registry import Tables, query
-from punctua.functions import datediff_boundary, flag, staleness_bucket
-from punctua.operators import asof_join, carry_forward, collapse_with_count, counts, gate_columns, latest_by
-from punctua.plans import FACT_COLUMNS, stage_flights, stage_weather
+from punctua.functions import datediff_boundary, flag, staleness_bucket, to_double
+from punctua.operators import (asof_join, carry_forward, collapse_with_count, counts, distinct_values, gate_columns, holdout_before,
+                               latest_by, sample_window)
+from punctua.plans import FACT_COLUMNS, build_fact, new_members, series_readings, stage_flights, stage_weather
+from punctua.streaming import changed_events, refresh_events
 
 LINE_ORDER = [F.desc_nulls_last, "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 _LATEST_SQL = """
@@ -178,3 +180,52 @@ from fact f asof left join reading r on f.arrival_airport = r.iata_code and f.ar
 def fact_wind_at_schedule(t: Tables) -> DataFrame:
     """D3, L16. The reading at the scheduled time, which no delay can move."""
     return derived.fact_table(t).select("flight_event_key", "arrival_scheduled_utc", "wind_at_schedule")
+
+
+@query("refresh_events", fact_sql(f"select {', '.join(FACT_COLUMNS)} from fact"))
+def refresh_events_query(t: Tables) -> DataFrame:
+    """K3. A fact without a fifth of the flight and weather files, brought up to date by them; equals the fact of all files."""
+    flights, weather, dim = derived.flights_table(t), derived.weather_table(t), derived.airports(t)
+    late = F.crc32(F.col("source_file").cast("binary")) % 5 == 0
+    before = derived.written(t, "fact-before", lambda: build_fact(flights.where(~late), weather.where(~late), dim))
+    unmatched = [c for c in FACT_COLUMNS if not c.startswith("weather_") and c != "has_weather_match"]
+    events = derived.written(t, "fact-events", lambda: build_fact(flights, weather.where(F.lit(False)), dim).select(*unmatched))
+    places = weather.where(late).select(F.col("iata_code").alias("arrival_airport"), "observed_at")
+    return _plain(refresh_events(before, events, series_readings(weather), changed_events(flights, flights.where(late), dim), places))
+
+
+_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+
+@query("sample_window", f"""select {_LINE} from lineitem
+where l_shipdate between date '1994-01-01' and date '1995-06-30' and l_quantity >= 10 and l_returnflag <> 'R'""")
+def sample_window_query(t: Tables) -> DataFrame:
+    """C5. Batches of a closed range of dates, early enough, without the excluded ones."""
+    lines = t.lineitem.withColumn("excluded", F.col("l_returnflag") == "R")
+    return sample_window(lines, "1994-01-01", "1995-06-30", 10, "l_shipdate", "l_quantity", "excluded").select(*_LINE.split(", "))
+
+
+@query("holdout_before", "select l_returnflag, count(*) as rows from lineitem where l_shipdate <= date '1996-06-30' group by 1")
+def holdout_before_query(t: Tables) -> DataFrame:
+    """C7. Batches up to and including a date."""
+    return holdout_before(t.lineitem, "l_shipdate", "1996-06-30").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("distinct_values", "select distinct l_returnflag, l_linestatus, l_linenumber from lineitem")
+def distinct_values_query(t: Tables) -> DataFrame:
+    """G4."""
+    return distinct_values(t.lineitem, "l_returnflag", "l_linestatus", "l_linenumber")
+
+
+@query("to_double", f"select {_LINE}, l_extendedprice::decimal(15,1)::double as price, l_tax::decimal(6,2)::double as tax from lineitem")
+def to_double_query(t: Tables) -> DataFrame:
+    """B36. Decimals of a table as double, other columns untouched."""
+    return to_double(t.lineitem.select(*_LINE.split(", "), F.col("l_extendedprice").cast("decimal(15,1)").alias("price"),
+                                       F.col("l_tax").cast("decimal(6,2)").alias("tax")))
+
+
+@query("new_members", """select l_orderkey, count(*) as rows from lineitem where l_quantity > 40
+and l_orderkey not in (select l_orderkey from lineitem where l_quantity <= 30) group by 1""")
+def new_members_query(t: Tables) -> DataFrame:
+    """D6. Orders of a sample that the history does not know, with their rows."""
+    return new_members(t.lineitem.where("l_quantity > 40"), t.lineitem.where("l_quantity <= 30"), "l_orderkey")

@@ -156,7 +156,7 @@ def fact(t: Tables, at_schedule: bool = False) -> DataFrame:
     """The fact from written staging tables. The collapsed events are written too, as each as-of join
     reads them twice and would otherwise deduplicate everything again."""
     return build_fact(flights_table(t), weather_table(t), airports(t), at_schedule=at_schedule,
-                      tap=lambda events: _written(t, "events", lambda: events))
+                      tap=lambda events: written(t, "events", lambda: events))
 
 
 # ---- the same in SQL ---------------------------------------------------------
@@ -315,7 +315,7 @@ def fact_sql(body: str) -> str:
 _built: dict[tuple[str, str, str], str] = {}
 
 
-def _written(t: Tables, name: str, build) -> DataFrame:
+def written(t: Tables, name: str, build) -> DataFrame:
     """A table built once per application and data folder, written to the shared folder and read back."""
     key = (t.spark.sparkContext.applicationId, t.folder, name)
     if key not in _built:
@@ -327,13 +327,13 @@ def _written(t: Tables, name: str, build) -> DataFrame:
 
 def fact_table(t: Tables) -> DataFrame:
     """A9. The fact as a written table, which is what reports, checks and the analysis read."""
-    return _written(t, "fact", lambda: fact(t, at_schedule=True))
+    return written(t, "fact", lambda: fact(t, at_schedule=True))
 
 
 def flights_table(t: Tables) -> DataFrame:
     """Staged flights as a written table, for reports that would otherwise parse every document again."""
-    return _written(t, "stg_flights", lambda: staged_flights(t))
+    return written(t, "stg_flights", lambda: staged_flights(t))
 
 
 def weather_table(t: Tables) -> DataFrame:
-    return _written(t, "stg_weather", lambda: staged_weather(t))
+    return written(t, "stg_weather", lambda: staged_weather(t))

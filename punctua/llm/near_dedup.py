@@ -17,8 +17,11 @@ from punctua.llm.graph import components
 
 BANDS, ROWS = 72, 8  # at the threshold of 0.8 a pair shares no band with probability 2e-6
 REGISTERS = BANDS * ROWS
-HEAD = 192  # registers that the Jaccard estimate reads
-SLACK = 0.25  # an estimate this far below the threshold is over 7 standard errors off
+HEAD = 192  # registers that the estimate of a single pair reads
+SLACK = 0.25  # an estimate from them that is this far below the threshold is over 7 standard errors off
+FULL_SLACK = 0.12  # the same for an estimate from all registers
+PARITY = 2048  # bits, each the parity of the shingles that fall on it
+STRAYS, MEMBERS = 256, 1024  # rows of a block
 _PRIORITY = mix64(np.arange(1, REGISTERS * REGISTERS + 1, dtype=np.uint64) * GOLDEN).reshape(REGISTERS, REGISTERS)
 
 
@@ -52,6 +55,17 @@ def registers(values: np.ndarray) -> np.ndarray:
     return (zeros * 16 + np.minimum((part * 2 - 1) * 16, 15).astype(np.int64) % 16).astype(np.uint8)
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """Bits that tell sets apart: two sets differ in at least as many shingles as bits."""
+    return np.packbits(np.bincount(((values >> np.uint64(20)) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1)
+
+
+def may_reach(percent: int, n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the parity bits leave room for the threshold; never false for a pair that reaches it."""
+    apart = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+    return 100 * (n_a + n_b - apart) >= percent * (n_a + n_b + apart)
+
+
 def collision_rate(n: np.ndarray) -> np.ndarray:
     """How often registers of unrelated sets of about ``n`` shingles agree by chance."""
     zeros = np.arange(16)
@@ -71,7 +85,7 @@ def _sign(width: int):
             for values in shingle_sets(part["text"], width):
                 sizes.append(len(values))
                 keys.append(xxhash.xxh3_128_digest(values.tobytes()))
-                regs.append(registers(values).tobytes() if len(values) else None)
+                regs.append(registers(values).tobytes() + parity(values).tobytes() if len(values) else None)
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], schema=schema)
 
     return run
@@ -87,14 +101,57 @@ def _set_rows(width: int):
     return run
 
 
-def _estimate(threshold: float):
+def _estimate(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pairs in batches:
             if len(pairs):
-                a, b = (np.frombuffer(b"".join(pairs[c]), np.uint8).reshape(-1, HEAD) for c in ("head_a", "head_b"))
-                chance = collision_rate(pairs["n"].to_numpy())
-                jaccard = ((a == b).mean(1) - chance) / (1 - chance)
-                yield pairs.loc[jaccard >= threshold - SLACK, ["a", "b"]]
+                a, b = (np.frombuffer(b"".join(pairs[c]), np.uint8).reshape(len(pairs), -1) for c in ("head_a", "head_b"))
+                n_a, n_b = pairs["n_a"].to_numpy(), pairs["n_b"].to_numpy()
+                chance = collision_rate(np.minimum(n_a, n_b))
+                jaccard = ((a[:, :HEAD] == b[:, :HEAD]).mean(1) - chance) / (1 - chance)
+                fits = may_reach(percent, n_a, n_b, a[:, HEAD:], b[:, HEAD:])
+                yield pairs.loc[fits & (jaccard >= percent / 100 - SLACK), ["a", "b"]]
+
+    return run
+
+
+def _stray_pairs(percent: int):
+    """Blocks of one band, rows in order of the block: pairs of a stray and a member of another component that may be linked.
+
+    A pair that shares several bands is looked at in the first of them. A block is held at a time, and only likely pairs leave it.
+    """
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        both = np.frombuffer(b"".join(rows["registers"]), np.uint8).reshape(len(rows), -1)
+        regs, bits = np.ascontiguousarray(both[:, :REGISTERS]), both[:, REGISTERS:]
+        doc, component, n = (rows[c].to_numpy() for c in ("doc", "component", "n_shingles"))
+        strays, members = (np.flatnonzero(rows[c].to_numpy()) for c in ("as_stray", "as_member"))
+        stray = rows["stray"].to_numpy()
+        keys = regs.view(np.uint64)
+        out = []
+        for x in strays:
+            y = members[(component[members] != component[x]) & (~stray[members] | (doc[members] > doc[x]))]
+            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+            y = y[may_reach(percent, n[y], n[x], bits[y], bits[x:x + 1])]
+            y = y[(keys[y] == keys[x]).argmax(1) == rows["at"].iloc[0]]
+            if len(y):
+                chance = collision_rate(n[x:x + 1])[0]
+                jaccard = ((regs[y] == regs[x]).mean(1) - chance) / (1 - chance)
+                y = y[jaccard >= percent / 100 - FULL_SLACK]
+                out.append(np.stack([np.minimum(doc[y], doc[x]), np.maximum(doc[y], doc[x])], 1))
+        return pd.DataFrame(np.concatenate([np.empty((0, 2), np.int64), *out]), columns=["a", "b"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in batches:
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            block = rows[["band", "s", "t"]]
+            starts = np.flatnonzero((block != block.shift()).any(axis=1))
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield compare(rows.iloc[a:b].reset_index(drop=True))
+            held = rows.iloc[starts[-1]:].reset_index(drop=True) if len(rows) else None
+        if held is not None:
+            yield compare(held)
 
     return run
 
@@ -122,21 +179,51 @@ def _confirm(percent: int):
     return run
 
 
-class _Pairs:
-    """Confirms pairs of documents on their full sets."""
+class _Members:
+    """One row per distinct shingle set, and what confirms links between them."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, width: int, percent: int):
-        self.docs, self.reps, self.width, self.percent = docs, reps, width, percent
+    def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int):
+        self.docs, self.rows, self.width, self.percent = docs, rows, width, percent
 
-    def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs ``(a, b)``, distinct, with ``a <> b``, whose Jaccard similarity reaches the threshold."""
-        side = [self.reps.select(F.col("doc").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.substring("registers", 1, HEAD).alias(f"head_{c}"))
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose sizes and estimated similarity allow a link."""
+        side = [self.rows.select(F.col("doc").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.concat(F.substring("registers", 1, HEAD), F.substring("registers", REGISTERS + 1, PARITY // 8)).alias(f"head_{c}"))
                 for c in "ab"]
         near = pairs.join(side[0], "a").join(side[1], "b").where(
             100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        likely = staged(near.select("a", "b", "head_a", "head_b", F.least("n_a", "n_b").alias("n"))
-                        .mapInPandas(_estimate(self.percent / 100), "a bigint, b bigint"), f"{name}-likely")
-        ends = staged(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), f"{name}-ends")
+        return near.select("a", "b", "head_a", "head_b", "n_a", "n_b").mapInPandas(_estimate(self.percent), "a bigint, b bigint")
+
+    def strays(self, bands: DataFrame, component: DataFrame) -> DataFrame:
+        """Likely pairs between components that share a band.
+
+        In each band with several components, the documents outside its largest one are the query set. They meet all its documents in
+        blocks of about ``STRAYS`` by ``MEMBERS`` rows.
+        """
+        placed = bands.join(component, bands["doc"] == component["node"], "left").select(
+            "band", "at", "doc", F.coalesce("component", "doc").alias("component"))
+        mixed = (placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("band").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+                 .where("most < n"))
+        drawn = F.xxhash64("doc")
+        s_blocks, t_blocks = F.ceil((F.col("n") - F.col("most")) / F.lit(STRAYS)), F.ceil(F.col("n") / F.lit(MEMBERS))
+        rows = staged(placed.join(mixed, "band").select(
+            "band", "at", "doc", "component", (F.col("component") != F.col("main")).alias("stray"), s_blocks.alias("s_blocks"), t_blocks.alias("t_blocks"),
+            F.pmod(drawn, s_blocks).alias("own_s"), F.pmod(F.shiftrightunsigned(drawn, 32), t_blocks).alias("own_t")), "near-open")
+
+        def dealt(blocks: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+        kept = ["band", "at", "doc", "component", "stray"]
+        as_member = rows.select(*kept, dealt("s_blocks").alias("s"), F.col("own_t").alias("t"), F.lit(False).alias("as_stray"), F.lit(True).alias("as_member"))
+        as_stray = rows.where("stray").select(*kept, F.col("own_s").alias("s"), dealt("t_blocks").alias("t"), F.lit(True).alias("as_stray"), F.lit(False).alias("as_member"))
+        dealt_rows = as_member.union(as_stray).join(self.rows.select("doc", "n_shingles", "registers"), "doc")
+        return (dealt_rows.repartition("band", "s", "t").sortWithinPartitions("band", "s", "t")
+                .mapInPandas(_stray_pairs(self.percent), "a bigint, b bigint").distinct())
+
+    def confirm(self, likely: DataFrame, name: str) -> DataFrame:
+        """The pairs ``(a, b)`` with ``a <> b`` whose Jaccard similarity on the full sets reaches the threshold."""
+        likely = staged(likely, f"{name}-likely")
+        ends = staged(likely.select(F.col("a").alias("doc")).union(likely.select("b")).distinct(), f"{name}-ends")
         sets = staged(self.docs.join(ends, "doc", "left_semi").mapInArrow(_set_rows(self.width), "doc bigint, values binary")
                       .groupBy("doc").agg(F.max("values").alias("values")), f"{name}-sets")
         deal = F.pmod(F.xxhash64("b"), F.lit(64))  # a center with many members is dealt over tasks
@@ -147,7 +234,7 @@ class _Pairs:
 
 
 def _band_keys() -> Column:
-    return F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("registers", i * ROWS + 1, ROWS)) for i in range(BANDS)]))
+    return F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.substring("registers", i * ROWS + 1, ROWS)) for i in range(BANDS)])).alias("at", "band")
 
 
 def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
@@ -158,10 +245,10 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
 
     1. Documents with one set are one member, its smallest id. Compressed registers are banded; members that share
        a band are candidates.
-    2. Every member of a band meets the band's smallest member; then, where a band still joins several components, one
-       member drawn at random; then all members of different components of what is left. Pairs inside one component need no test, so a
+    2. Every member of a band meets the band's smallest member. Where a band then still holds several components, the documents outside
+       the largest meet all its documents, in blocks. Pairs inside one component need no test, so a
        group of copies costs links in proportion to its members, and no candidate goes untested if it could join two components.
-    3. Candidates pass the collision-corrected estimate and are confirmed on the full sets.
+    3. Candidates pass a bound from parity bits and the collision-corrected estimate, and are confirmed on the full sets.
 
     Documents without words (or with null text) are empty and linked with nothing. Rows that repeat a ``doc_id`` with one
     text get equal rows; differing texts under one id are linked through that id. A null id is its own class: it is returned with
@@ -173,26 +260,14 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
     members = staged(usable.groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n_shingles"),
                                                    F.first("registers").alias("registers")), "near-members")
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
-    pairs = _Pairs(texts, members, width, percent)
+    sets = _Members(texts, members, width, percent)
 
-    keyed = members.select("doc", _band_keys().alias("band"))
+    keyed = members.select("doc", _band_keys())
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("pivot")).where("size > 1").drop("size")
     bands = staged(keyed.join(shared, "band"), "near-bands")
-    links = pairs.confirm(bands.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "near-first")
-    for turn in ("near-second", "near-rest"):
-        component = components(links)
-        placed = bands.join(component, bands["doc"] == component["node"], "left").select(
-            "band", "doc", F.coalesce("component", "doc").alias("component"))
-        mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                           F.min_by(F.struct("doc", "component"), F.xxhash64(F.lit(turn), "doc")).alias("pivot")).where("low < high")
-        unsettled = staged(placed.join(mixed, "band").select("band", "doc", "component", "pivot"), f"{turn}-bands")
-        if turn == "near-second":
-            open_pairs = unsettled.where("component <> pivot.component").select(F.col("pivot.doc").alias("x"), F.col("doc").alias("y"))
-        else:
-            other = unsettled.select("band", F.col("doc").alias("y"), F.col("component").alias("there"))
-            open_pairs = unsettled.withColumnRenamed("doc", "x").join(other, "band").where("component < there").select("x", "y")
-        tested = open_pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        links = links.union(pairs.confirm(tested, turn))
+    stars = bands.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
+    links = sets.confirm(sets.likely(stars), "near-star")
+    links = links.union(sets.confirm(sets.strays(bands, components(links)), "near-stray"))
 
     same_set = usable.select(F.col("doc_id").alias("b"), "set_key").join(members.select("set_key", F.col("doc").alias("a")), "set_key").select("a", "b")
     component = components(links.union(same_set))
@@ -204,4 +279,4 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each near-duplicate group; rows that repeat an id stay or go together."""
     dropped = staged(near_groups(docs, width, percent).where("not kept").select("doc_id").distinct(), "near-dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti")

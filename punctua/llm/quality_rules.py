@@ -103,10 +103,10 @@ def choose_cutoffs(labelled: DataFrame, risk: float, error: float) -> DataFrame:
     counts = (labelled.where("quality = 1").select("stratum", tried.alias("t")).select("stratum", "t.*")
               .groupBy("stratum", "rule", "step", "cutoff")
               .agg(F.count(F.lit(1)).alias("n_good"), F.sum(F.col("lost").cast("bigint")).alias("n_lost")))
-    strata = labelled.where("quality = 1").agg(F.count_distinct(F.struct("stratum")).alias("strata"))
-    level = F.lit(error / len(RULES)) / F.col("strata")
+    strata = labelled.where("quality = 1").agg(F.count_distinct(F.struct("stratum")).alias("strata")).scalar()
+    level = F.lit(error / len(RULES)) / strata
     order = Window.partitionBy("stratum", "rule").orderBy("step")
-    tested = (counts.join(strata).withColumn("p_value", binomial_tail(F.col("n_lost"), F.col("n_good"), risk / len(RULES)))
+    tested = (counts.withColumn("p_value", binomial_tail(F.col("n_lost"), F.col("n_good"), risk / len(RULES)))
               .withColumn("safe", F.min(F.col("p_value") <= level).over(order)).where("safe"))
     last = F.row_number().over(Window.partitionBy("stratum", "rule").orderBy(F.desc("step")))
     return tested.withColumn("last", last).where("last = 1").select("stratum", "rule", "cutoff", "n_good", "n_lost", "p_value")

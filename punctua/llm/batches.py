@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -59,7 +59,7 @@ class FMIndex:
             _, rank = np.unique(rank * (rank.max() + len(rank) + 1) + later, return_inverse=True)
             reach *= 2
         order = np.argsort(rank, kind="stable")
-        self.owner = strings[order]  # string of each suffix, in suffix order
+        self.start = order - strings[order]  # where in the text each suffix starts, in suffix order
         self.size = len(joined)
         last, self.levels = joined[order - 1], []
         for bit in reversed(range(max(int(joined.max()).bit_length(), 1))):
@@ -94,22 +94,21 @@ class FMIndex:
 
 
 def fm_windows(contexts: np.ndarray, offsets: np.ndarray, heads: np.ndarray, k: int) -> np.ndarray:
-    """For contexts in order of occurrence: whether each window of ``k`` words lies in an earlier context too."""
+    """For contexts in order of occurrence: where each window of ``k`` words starts first."""
     index = FMIndex(contexts, offsets, k + 1)
     codes = np.searchsorted(index.alphabet, contexts) + 1
     counts = np.diff(offsets) - k + 1
     ends = np.arange(counts.sum()) + np.repeat(offsets[:-1] - (np.cumsum(counts) - counts), counts) + k
-    context = np.repeat(np.arange(len(counts)), counts)
     which, low, high = index.search(codes, ends, k)
-    earlier = np.zeros(len(ends), bool)
+    earliest = ends - k
     if len(which):
         start, place = np.unique(low, return_inverse=True)
         stop = np.zeros(len(start), np.int64)
         stop[place] = high
         bounds = np.stack([start, stop], 1).ravel()
-        first = np.minimum.reduceat(np.append(index.owner, len(counts)), bounds)[::2]
-        earlier[which] = context[which] > first[place]
-    return earlier
+        first = np.minimum.reduceat(np.append(index.start, len(contexts)), bounds)[::2]
+        earliest[which] = first[place]
+    return earliest
 
 
 def remove_repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

@@ -34,7 +34,7 @@ _RUN, _FLAG = 10, 1 << 20  # bits of each offset in a packed place; mark of a co
 
 #: Symbols of texts: ``(offsets, hashed values, raw values)``
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]
-#: ``(contexts, offsets, heads, k) -> windows``: for contexts in order of occurrence, whether each window has an earlier one
+#: ``(contexts, offsets, heads, k) -> windows``: for contexts in order of occurrence, where in ``contexts`` each window occurs first
 Index = Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
@@ -112,12 +112,21 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
 
 
 def _copies(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by key and place, and which rows in that order repeat the key of the row before at another place."""
+    """Order by key and place, and which rows in that order repeat the first of their key at another place. Repeats of the first place itself are left out."""
     order = np.lexsort((at, doc, *keys[::-1]))
-    same = np.ones(max(len(order) - 1, 0), bool)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
     for key in keys:
-        same &= key[order][1:] == key[order][:-1]
-    return order, np.concatenate([[False], same]) if len(order) else same
+        new[1:] |= key[order][1:] != key[order][:-1]
+    copy, _ = _elsewhere(new, doc[order], at[order], (0, 0))
+    return order[new | copy], copy[new | copy]
+
+
+def _elsewhere(new: np.ndarray, doc: np.ndarray, at: np.ndarray, before: tuple[int, int]) -> tuple[np.ndarray, tuple[int, int]]:
+    """Which rows are at another place than the first row of their group, and the first place of the last group; ``before`` is that of the group the rows go on with."""
+    group = np.cumsum(new)
+    first_doc, first_at = (np.concatenate([[b], v[new]])[group] for b, v in zip(before, (doc, at)))
+    return (doc != first_doc) | (at != first_at), (first_doc[-1], first_at[-1]) if len(doc) else before
 
 
 def _route(symbols: Symbols, k: int, q: int):
@@ -138,6 +147,7 @@ def _route(symbols: Symbols, k: int, q: int):
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From anchors in order of (hash, run, place): copies of an earlier run (``open`` false) and anchors with several runs (``open`` true)."""
     seen_h = seen_whole = waiting = None
+    place = 0, 0
     for batch in batches:
         h, whole, doc, at = (batch[c].to_numpy() for c in ("h", "whole", "doc", "at"))
         done = (at & _FLAG) > 0
@@ -150,6 +160,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if seen_h is not None and h[0] == seen_h:
                 new_h[0], new_whole[0] = False, whole[0] != seen_whole
             new_whole |= new_h
+            copy, place = _elsewhere(new_whole, doc, at, place)
             group = np.cumsum(new_h)
             several = np.zeros(group[-1] + 1, bool)
             several[group[new_whole & ~new_h]] = True
@@ -157,7 +168,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((*waiting, True))
                 waiting = None
             is_open = new_whole & (~new_h | several[group])
-            out += [(h[~new_whole], doc[~new_whole], at[~new_whole], False), (h[is_open], doc[is_open], at[is_open], True)]
+            out += [(h[copy], doc[copy], at[copy], False), (h[is_open], doc[is_open], at[is_open], True)]
             if group[-1] > 0:
                 start = np.flatnonzero(new_h)[-1:]
                 waiting = None if several[-1] else (h[start], doc[start], at[start])
@@ -205,19 +216,25 @@ def _resolve(index: Index, k: int, dtype: type):
         contexts = np.frombuffer(b"".join(blobs), dtype)
         offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]) // np.dtype(dtype).itemsize
         _, low, high = _unpack(at)
-        earlier = index(contexts, offsets, h, k)
+        first = index(contexts, offsets, h, k)
         counts = high - low + 1
         place, owner = _spread(low, counts), np.repeat(doc, counts)
+        earlier = np.flatnonzero(first != _spread(offsets[:-1], counts))
+        first = first[earlier]
+        context = np.searchsorted(offsets, first, "right") - 1  # of one place there may be several: of repeated rows, or of texts under one id
+        earlier = earlier[(doc[context] != owner[earlier]) | (low[context] + first - offsets[context] != place[earlier])]
         return _batch(doc=owner[earlier], low=place[earlier], high=place[earlier])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, last = [], 0, None
+        held, n, last, first = [], 0, None, (0, 0)
         for batch in batches:
             h, doc, at = (batch[c].to_numpy() for c in ("h", "doc", "at"))
             lone = batch["context"].is_null().to_numpy(zero_copy_only=False)
             if lone.any():
                 key, owner, place = h[lone], doc[lone], at[lone]
-                again = np.concatenate([[last is not None and key[0] == last], key[1:] == key[:-1]]) | ((place & _FLAG) > 0)
+                new = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
+                again, first = _elsewhere(new, owner, place, first)
+                again |= (place & _FLAG) > 0
                 last = key[-1]
                 window = place[again] >> (2 * _RUN + 1)
                 yield _batch(doc=owner[again], low=window, high=window)
@@ -225,6 +242,10 @@ def _resolve(index: Index, k: int, dtype: type):
             if len(full):
                 blobs = batch["context"].take(pa.array(full)).to_pylist()
                 h, doc, at = h[full], doc[full], at[full]
+                near = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
+                if near.any():  # repeated rows bring the same context again
+                    fresh = np.array([True, *(not (s and a == b) for s, a, b in zip(near, blobs[1:], blobs))])
+                    h, doc, at, blobs = h[fresh], doc[fresh], at[fresh], [b for b, f in zip(blobs, fresh) if f]
                 edge = 0
                 if n >= SHARD:  # a group of one key stays together
                     fresh = np.flatnonzero(h != held[-1][0][-1])

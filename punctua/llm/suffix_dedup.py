@@ -56,14 +56,13 @@ def refine_buckets(text: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndar
 
 
 def bucket_index(contexts: np.ndarray, offsets: np.ndarray, heads: np.ndarray, k: int) -> np.ndarray:
-    """For contexts in order of occurrence: whether each window of ``k`` bytes lies in an earlier context too."""
+    """For contexts in order of occurrence: where each window of ``k`` bytes starts first."""
     counts = np.diff(offsets) - k + 1
     windows = np.arange(counts.sum()) + np.repeat(offsets[:-1] - (np.cumsum(counts) - counts), counts)
-    context = np.repeat(np.arange(len(counts)), counts)
     bucket = refine_buckets(contexts, offsets, k)[windows]
-    first = np.full(len(contexts) + 1, len(counts))
-    np.minimum.at(first, bucket, context)  # windows in no bucket (-1) meet in the spare last place
-    return (bucket >= 0) & (context > first[bucket])
+    first = np.full(len(contexts) + 1, len(contexts))
+    np.minimum.at(first, bucket, windows)  # windows in no bucket (-1) meet in the spare last place
+    return np.where(bucket >= 0, first[bucket], windows)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

@@ -99,6 +99,32 @@ def test_substring_dedup(spark, texts, monkeypatch, hot):
     assert texts_of == {i: given[i] if not n else kept for i, (words, n, kept) in want.items() if not n or n < words}
 
 
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_repeated_rows_are_one_document(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(11)
+    alone, passage = prose(rng, 300), prose(rng, 80)
+    rows = [(1, alone)] * 2 + [(2, passage + " " + prose(rng, 60))] * 3 + [(3, prose(rng, 30) + " " + passage)] * 2 + [(4, passage[:300] + " " + prose(rng, 50))]
+    rows += [(5, prose(rng, 120) + " " + passage[40:])] * 2 + [(6, passage[20:260] + prose(rng, 20)), (None, prose(rng, 90)), (None, rows[-1][1])]
+    rows += [(9, alone[:900] + " " + prose(rng, 9))] * 2
+    for repartition in (1, 3):
+        docs = frame(spark, rows).repartition(repartition)
+        by_byte, by_word = remove_repeats(docs).collect(), remove_repeated_passages(docs).collect()
+        want = {(i, len(s), sum(g), bytes(x for x, y in zip(s, g) if not y)) for (i, _), (s, g) in earlier(rows, 100, list).items()}
+        assert len(by_byte) == len(rows) and {(r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in by_byte if r.doc_id} == {w for w in want if w[0]}
+        want = {(i, len(s), sum(g), b" ".join(x for x, y in zip(s, g) if not y).decode()) for (i, _), (s, g) in earlier(rows, 20, bytes.split).items()}
+        assert len(by_word) == len(rows) and {tuple(r) for r in by_word if r.doc_id} == {w for w in want if w[0]}
+        assert len([r for r in strip_passages(docs).collect() if r.doc_id == 1 and r.text == alone]) == 2
+
+
+def test_texts_under_one_id_do_not_erase_each_other(spark):
+    rng = random.Random(12)
+    start = prose(rng, 100)
+    rows = [(1, start + " " + prose(rng, 8)), (1, start + " " + prose(rng, 8))]
+    assert {r.n_removed for r in remove_repeats(frame(spark, rows)).collect()} == {0}
+    assert {r.n_removed for r in remove_repeated_passages(frame(spark, rows)).collect()} == {0}
+
+
 def test_refine_buckets_is_exact():
     rng = random.Random(1)
     import numpy as np

@@ -15,7 +15,7 @@ from punctua.llm.batches import pieces
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist area map title".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist area title annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr menu dir".split())
 BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog div dt fieldset figcaption footer form header hgroup html legend li "
                            "main nav optgroup option search section summary tbody td tfoot th thead tr".split())
@@ -30,6 +30,17 @@ IMPLIED = {tag: (frozenset(close.split()), frozenset(stop.split())) for tag, (cl
 CLOSES_P = BLOCK - frozenset("option optgroup td th tr tbody thead tfoot caption html body".split())
 P_SCOPE = frozenset("button td th caption table object".split())
 SCOPE = frozenset("table td th caption".split())
+#: A part of a table closes what is open inside its table up to one of these.
+PARTS = {"caption": "table", "colgroup": "table", "col": "table colgroup", "tbody": "table", "thead": "table", "tfoot": "table",
+         "tr": "table tbody thead tfoot", "td": "table tbody thead tfoot tr", "th": "table tbody thead tfoot tr"}
+PARTS = {tag: frozenset(within.split()) for tag, within in PARTS.items()}
+GRID = frozenset("table tbody thead tfoot tr".split())  # text and other elements in these stand before the table
+UNMOVED = frozenset(PARTS) | frozenset("script style template".split())
+FOREIGN = frozenset("svg math".split())
+ISLANDS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())  # HTML inside svg and math
+LEAVES_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small "
+                           "span strong strike sub sup table tt u ul var".split())
+SVG_HIDDEN = frozenset("defs symbol metadata desc clippath mask pattern marker lineargradient radialgradient filter".split())
 BULLETS = ("*", "-", "+")
 TABLES = 20  # depth of tables inside tables that are laid out; deeper ones are plain blocks
 COLUMN_GAP = "  "
@@ -46,7 +57,10 @@ class Node:
 
 
 def build_tree(html: str) -> Node:
-    """The element tree. Missing end tags are implied by the next start tag or the end of the parent; stray end tags are ignored."""
+    """The element tree. Missing end tags are implied by the next start tag or the end of the parent; stray end tags are ignored.
+
+    A cell outside a row gets one; text and elements that a table cannot hold stand before it, and a form inside a table's rows is closed at once.
+    """
     root = Node("#root", {})
     path, names = [root], ["#root"]
     opened: Counter[str] = Counter()
@@ -62,6 +76,24 @@ def build_tree(html: str) -> Node:
                 del path[i:], names[i:]
                 return
 
+    def cut(i: int) -> None:
+        opened.subtract(names[i:])
+        del path[i:], names[i:]
+
+    def last(tags: frozenset) -> int:
+        return next((i for i in range(len(names) - 1, 0, -1) if names[i] in tags), 0)
+
+    def add(child: Node | str) -> None:
+        if names[-1] in GRID and opened["table"] and (child.strip() if isinstance(child, str) else child.tag not in UNMOVED):
+            path[last(frozenset(("table",))) - 1].children.insert(-1, child)  # an open table is the last child
+        else:
+            path[-1].children.append(child)
+
+    def add_text(text: str) -> None:
+        if names[-1] == "colgroup" and text.strip():
+            cut(len(path) - 1)
+        add(text)
+
     at, end = 0, len(html)
     while at < end:
         match = _TOKEN.match(html, at)
@@ -70,14 +102,14 @@ def build_tree(html: str) -> Node:
         if tag is None:
             token = match[0]
             if token.startswith("<![CDATA["):
-                path[-1].children.append(token[9:-3] if token.endswith("]]>") else token[9:])
+                add_text(token[9:-3] if token.endswith("]]>") else token[9:])
             elif not (token.startswith("<!") or token.startswith("<?")):
-                path[-1].children.append(unescape(token) if "&" in token else token)
+                add_text(unescape(token) if "&" in token else token)
             continue
         tag = tag.lower()
         if match[1]:
             if tag == "p" and not opened["p"]:
-                path[-1].children.append(Node("p", {}))
+                add(Node("p", {}))
             elif tag not in VOID:
                 close(frozenset((tag,)), frozenset() if tag in SCOPE or tag in ("tr", "tbody", "thead", "tfoot") else SCOPE)
             continue
@@ -87,15 +119,36 @@ def build_tree(html: str) -> Node:
             tags, stop = IMPLIED[tag]
             for _ in range(3 if "tr" in tags else 1):  # a row closes its cell and the row before
                 close(tags, stop)
+        if tag in LEAVES_FOREIGN and (opened["svg"] or opened["math"]) and names[i := last(FOREIGN | ISLANDS)] in FOREIGN:
+            cut(i)
+        if opened["table"]:
+            if tag in PARTS:
+                cut(last(PARTS[tag]) + 1)
+                if tag in ("td", "th") and names[-1] != "tr":
+                    row = Node("tr", {})
+                    path[-1].children.append(row)
+                    path.append(row)
+                    names.append("tr")
+                    opened["tr"] += 1
+            elif names[-1] == "colgroup" and tag != "template":
+                cut(len(path) - 1)
+            if names[-1] in GRID:
+                if tag == "form":
+                    continue
+                if tag == "table":
+                    cut(last(frozenset(("table",))))
         rest = match[3]
         node = Node(tag, {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)} if rest.strip(" /") else {})
-        path[-1].children.append(node)
+        if tag == "input" and node.attributes.get("type", "").lower() == "hidden":
+            path[-1].children.append(node)
+        else:
+            add(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
             body = html[at:stop.start() if stop else end]
             node.children.append(unescape(body) if tag in ("textarea", "title") else body)
             at = stop.end() if stop else end
-        elif tag not in VOID:
+        elif tag not in VOID and not (rest.endswith("/") and (tag in FOREIGN or opened["svg"] or opened["math"])):
             path.append(node)
             names.append(tag)
             opened[tag] += 1
@@ -121,6 +174,15 @@ def _displayed(node: Node) -> bool:
     return "style" not in attributes or _style(node).get("display", "").removesuffix("!important").strip() != "none"
 
 
+def _inherit(node: Node, shown: bool, keep: bool) -> tuple[bool, bool]:
+    """Whether text of a node is visible and keeps its white space, given that of its parent."""
+    if node.attributes and "style" in node.attributes:
+        style = _style(node)
+        shown = {"hidden": False, "collapse": False, "visible": True}.get(style.get("visibility", "").removesuffix("!important").strip(), shown)
+        keep = keep or style.get("white-space", "").startswith("pre")
+    return shown, keep
+
+
 class Page:
     """Lines of text with collapsed white space, margins between blocks, and a prefix for lists and quotes."""
 
@@ -172,30 +234,30 @@ class Page:
             self.margin = max(self.margin, lines)
 
 
-def _rows(table: Node) -> Iterator[Node]:
+def _rows(table: Node, shown: bool, keep: bool) -> Iterator[tuple[Node, bool, bool]]:
     for child in table.children:
         if isinstance(child, Node) and _displayed(child):
             if child.tag == "tr":
-                yield child
+                yield child, *_inherit(child, shown, keep)
             elif child.tag in ("tbody", "thead", "tfoot"):
-                yield from _rows(child)
+                yield from _rows(child, *_inherit(child, shown, keep))
 
 
 def _number(value: str | None, most: int = 1000) -> int:
     return min(max(int(value), 1), most) if value and value.isdecimal() and len(value) < 9 else 1
 
 
-def _table_lines(table: Node, visible: bool, depth: int) -> list[str]:
+def _table_lines(table: Node, visible: bool, keep: bool, depth: int) -> list[str]:
     """Rows with cells padded to the width of their column; a spanning cell takes its columns together."""
     grid, taken = [], {}
-    for row in _rows(table):
+    for row, *state in _rows(table, visible, keep):
         cells, column = [], 0
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th") and _displayed(cell):
                 while taken.get(column, 0) > 0:
                     column += 1
                 span, down = _number(cell.attributes.get("colspan")), _number(cell.attributes.get("rowspan"))
-                cells.append((column, span, render(cell, visible, depth + 1)))
+                cells.append((column, span, render(cell, *_inherit(cell, *state), depth + 1)))
                 for c in range(column, column + span):
                     taken[c] = down
                 column += span
@@ -227,11 +289,11 @@ def _table_lines(table: Node, visible: bool, depth: int) -> list[str]:
     return out
 
 
-def render(root: Node, visible: bool = True, depth: int = 0) -> list[str]:
+def render(root: Node, visible: bool = True, keep: bool = False, depth: int = 0) -> list[str]:
     """Lines of all that is visible below a node."""
     page = Page()
     lists: list[list] = []  # kind and counter of the open lists
-    todo: list[tuple] = [("children", root, visible, False)]
+    todo: list[tuple] = [("children", root, visible, keep)]
     while todo:
         step, node, shown, keep = todo.pop()
         if step == "leave":
@@ -256,10 +318,15 @@ def render(root: Node, visible: bool = True, depth: int = 0) -> list[str]:
         if not _displayed(node):
             continue
         tag, attributes = node.tag, node.attributes
-        if attributes and "style" in attributes:
-            style = _style(node)
-            shown = {"hidden": False, "collapse": False, "visible": True}.get(style.get("visibility", ""), shown)
-            keep = keep or style.get("white-space", "").startswith("pre")
+        shown, keep = _inherit(node, shown, keep)
+        if step == "svg" or tag == "svg":  # of a drawing, its text elements and the HTML in it
+            if attributes.get("display") == "none" or tag in SVG_HIDDEN:
+                continue
+            shown = {"hidden": False, "collapse": False, "visible": True}.get(attributes.get("visibility", ""), shown)
+            if tag not in ("text", "foreignobject"):
+                todo.extend(("svg", child, shown, keep) for child in reversed(node.children) if isinstance(child, Node))
+                continue
+            page.space = True
         if tag == "br":
             page.end_line(True)
             continue
@@ -272,10 +339,10 @@ def render(root: Node, visible: bool = True, depth: int = 0) -> list[str]:
         if tag == "table" and depth < TABLES:
             for child in node.children:
                 if isinstance(child, Node) and child.tag == "caption" and _displayed(child):
-                    for line in render(child, shown, depth + 1):
+                    for line in render(child, *_inherit(child, shown, keep), depth + 1):
                         page.line.append(line)
                         page.end_line(True)
-            for line in _table_lines(node, shown, depth):
+            for line in _table_lines(node, shown, keep, depth):
                 page.line.append(line)
                 page.end_line(True)
             page.gap(2 if not lists else 1)
@@ -320,7 +387,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text``: all visible text of every whole page, laid out.
 
     Paragraphs, headings, lists and tables are set apart by an empty line, other blocks by a line; list items carry a bullet or number and
-    indent; cells of a table column start at one place; ``pre`` keeps its white space. Not shown: head, scripts, styles, templates, embedded media, ``hidden``,
+    indent; cells of a table column start at one place; ``pre`` keeps its white space. Of ``svg`` its text elements and HTML are shown. Not shown: head, scripts, styles, templates, embedded media, annotations of ``math``, ``hidden``,
     ``display:none``, ``visibility:hidden``, closed details and dialogs. A null or empty page gives an empty text; each row stands alone, so repeated rows agree and null ids stay.
     """
 

@@ -363,6 +363,23 @@ def test_html_layout(spark):
     assert sorted((r.page_id or 0, r.text) for r in got) == sorted([(1, page_text(page)), (2, ""), (3, ""), (0, "x"), (1, page_text(page))])
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<table><td>x</table>", "x"), ("<table><tbody><td>x<td>y<tr><th>z</table>", "x  y\nz"), ("<table>text<tr><td>x</table>", "text\n\nx"),
+    ("<table><tr>text<td>x</table>after", "text\n\nx\n\nafter"), ("<table><form><tr><td>x</form><tr><td>y</table>", "x\ny"),
+    ("<table><tr><div>d<td>x</table>", "d\n\nx"), ("<table><div>d<tr><td>x</table>", "d\n\nx"), ("<table><caption>c<td>x</table>", "c\nx"),
+    ("<table><colgroup><col>t<tr><td>x</table>", "t\n\nx"), ("<table><tr><td>a<table><td>b</table><td>c</table>", "a  c\n\nb"),
+    ("<table><tr><td>a<tr><table><td>b</table>", "a\n\nb"), ("<table><tr><input type=hidden value=h><td>x</table>", "x"),
+    ("<table><tr style='visibility:hidden'><td>x<td style='visibility:visible'>y<tr><td>z</table>", "   y\nz"),
+    ("<table><tbody style='visibility:hidden'><tr><td>x</table>", ""), ("<table><tr><td style='visibility:hidden'>x</table>", ""),
+    ("<table><td style='white-space:pre'>a  b</table>", "a  b"),
+    ("a <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>no</annotation></math> b", "a x+1 b"), ("<map><area><a>m</a></map>", "m"),
+    ("<svg><defs><text>no</text></defs><rect/><title>no</title><text>one</text><g display=none><text>no</text></g><text>two</text>no</svg> b", "one two b"),
+    ("<svg><rect/><p>x</p>y", "x\n\ny"), ("<svg/>x", "x"),
+])
+def test_text_of_tables_and_drawings(html, text):
+    assert page_text(html) == text
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [(1, "x")]).limit(0)
     bench = spark.createDataFrame([], "item_id bigint, text string")

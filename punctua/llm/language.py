@@ -21,7 +21,8 @@ SPACE_BITS = 18
 SAMPLE = 1200  # labelled documents that the model is fitted on, all languages together
 LANDMARKS = 400
 RIDGE = 0.05
-LEAST = 0.35  # score under which no language claims a text; one of two equal claims has 0.5
+LEAST = 0.35  # score under which no language claims a text; one of two equal claims has 0.5, and so has a text of which no n-gram is known
+KNOWN, CLEAR = 0.9, 0.12  # a text with a smaller share of known n-grams and a smaller margin between its two best scores is in no learned language
 
 
 def present_grams(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -50,6 +51,10 @@ class KernelModel:
 
     def __init__(self, grams: list[np.ndarray], langs: list[str]):
         self.langs = sorted(set(langs))
+        count = np.bincount(np.concatenate(grams), minlength=1 << SPACE_BITS)
+        self.known = count > 1  # in two documents of the sample or more
+        usual = [np.mean(count[g] > 2) for g in grams if len(g)]  # share of a document that two others know
+        self.least_known = min(KNOWN, float(np.quantile(usual, 0.01))) if usual else 0.0
         used = np.unique(np.concatenate(grams))
         place = np.zeros(1 << SPACE_BITS, np.int32)
         place[used] = np.arange(len(used))
@@ -70,7 +75,18 @@ class KernelModel:
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Per text and language a score from 0 to 1."""
+        return self._scores(list(present_grams(texts)))
+
+    def judged(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The scores, and whether each text is in a learned language: most of its n-grams are known, or one language is clearly ahead."""
         rows = list(present_grams(texts))
+        scores = self._scores(rows)
+        share = np.array([self.known[r].mean() if len(r) else 0.0 for r in rows])
+        best = np.sort(scores, 1)
+        margin = best[:, -1] - best[:, -2] if len(self.langs) > 1 else np.zeros(len(rows))
+        return scores, (share >= self.least_known) | (margin >= CLEAR)
+
+    def _scores(self, rows: list[np.ndarray]) -> np.ndarray:
         sizes = np.array([len(r) for r in rows])
         out = np.zeros((len(rows), len(self.langs)), np.float32)
         full = sizes > 0
@@ -109,12 +125,12 @@ def fit_languages(docs: DataFrame, sample: int = SAMPLE) -> KernelModel | None:
     return KernelModel([np.frombuffer(g, np.int32) for g in picked["grams"]], list(picked["lang"]))
 
 
-def identify_language(docs: DataFrame, model: KernelModel | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def identify_language(docs: DataFrame, model: KernelModel | None = None, keep: tuple[str, ...] = (), learned: bool = False) -> DataFrame:
     """Language of every whole text: ``doc_id, lang_pred, score``, and the columns ``keep``.
 
     Fitted on ``docs`` itself if no model is given (:func:`fit_languages`). ``und`` with score 0 where the text is null or has no
     letter, or if there is nothing to learn from; ties go to the first language in code point order. Each row is scored on its own:
-    repeated rows agree, a null id is kept.
+    repeated rows agree, a null id is kept. ``learned``: also ``und`` with score 0 where a text is in none of the learned languages (:meth:`KernelModel.judged`).
     """
     model = model or fit_languages(docs)
     fields = [docs.schema[c] for c in keep]
@@ -127,7 +143,11 @@ def identify_language(docs: DataFrame, model: KernelModel | None = None, keep: t
             if model is None:
                 best, top = np.full(len(letter), UNKNOWN, object), np.zeros(len(letter))
             else:
-                values = model.scores(part["text"])
+                if learned:
+                    values, inside = model.judged(part["text"])
+                    letter = letter & inside
+                else:
+                    values = model.scores(part["text"])
                 best = np.where(letter, np.array(model.langs, object)[values.argmax(1)], UNKNOWN)
                 top = np.where(letter, values.max(1), 0.0)
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(best, pa.string()), pa.array(top, pa.float64()), *[part[f"_{c}"] for c in keep]],
@@ -138,7 +158,7 @@ def identify_language(docs: DataFrame, model: KernelModel | None = None, keep: t
 
 
 def keep_identified(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """``docs`` without the documents that no language claims: without text or letter, or with a score under ``least``.
+    """``docs`` without the documents that no language claims: without text or letter, in no learned language, or with a score under ``least``.
 
     Where there is nothing to learn a language from, texts with a letter stay.
     """
@@ -146,7 +166,7 @@ def keep_identified(docs: DataFrame, least: float = LEAST) -> DataFrame:
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     row = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    found = identify_language(row, model, ("row",)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    found = identify_language(row, model, ("row",), True).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

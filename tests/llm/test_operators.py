@@ -283,6 +283,19 @@ def test_language(spark):
     assert identify_language(docs.limit(0)).count() == 0
 
 
+def test_language_stage_drops_unlearned_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").where(F.col("text").rlike(r"\p{L}"))
+    rng = random.Random(3)
+    junk = ["Все люди рождаются свободными и равными в своем достоинстве и правах.", "人人生而自由在尊严和权利上一律平等他们赋有理性和良心",
+            "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+            "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400)),
+            " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(60))]
+    added = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], "doc_id bigint, text string, lang string")
+    left = keep_identified(docs.union(added))
+    assert left.where("doc_id < 0").count() == 0
+    assert left.where("doc_id >= 0").count() >= 0.995 * docs.count()
+
+
 def all_maximal(scores):
     """Maximal scoring segments by their recursive definition: the best one, then the same left and right of it."""
     best = max(((sum(scores[a:b]), a - b, a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), key=lambda x: (x[0], x[1]), default=None)

@@ -6,6 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as driver
+from punctua.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data here")
@@ -21,7 +22,7 @@ def test_contract(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     ok, message = compare(spark, duck, FOLDER, name)
     assert ok, message

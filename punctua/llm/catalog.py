@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punctua.llm.collocations import mine_collocations
 from punctua.llm.decontaminate import find_leaks
 from punctua.llm.fm_dedup import remove_repeated_passages
 from punctua.llm.html_layout import extract_text
 from punctua.llm.language import held_out, identify_language
+from punctua.llm.merkle import verify_documents
 from punctua.llm.mixing import mix_sources
+from punctua.llm.multi_index import nearest_vectors
 from punctua.llm.near_dedup import near_groups
-from punctua.llm.oracles import DECONTAMINATE, quality_sql
+from punctua.llm.oracles import COLLOCATIONS, DECONTAMINATE, merkle_sql, quality_sql
 from punctua.llm.quality_rules import judge_quality
 from punctua.llm.suffix_dedup import remove_repeats
 from punctua.llm.token_edits import count_tokens, redactions
@@ -21,7 +24,8 @@ from punctua.llm.toxicity import score_toxicity
 from punctua.session import pin_utc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_SQL: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op3_quality_rules": quality_sql()}
+LLM_SQL: dict[str, str] = {"op1_decontaminate": DECONTAMINATE, "op3_quality_rules": quality_sql(),
+                           "op11_collocations": COLLOCATIONS, "op13_merkle_manifest": merkle_sql()}
 
 
 def _query(fn: Callable[..., DataFrame]):
@@ -83,3 +87,18 @@ def op4_token_edits(table) -> DataFrame:
 @_query
 def op6_html_layout(table) -> DataFrame:
     return extract_text(table("pages"))
+
+
+@_query
+def op11_collocations(table) -> DataFrame:
+    return mine_collocations(table("documents"))
+
+
+@_query
+def op12_multi_index(table) -> DataFrame:
+    return nearest_vectors(table("embeddings"))
+
+
+@_query
+def op13_merkle_manifest(table) -> DataFrame:
+    return verify_documents(table("documents"))

@@ -15,7 +15,8 @@ COLUMNS = {
     "op3_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "op4_token_edits": "doc_id n_tokens",
     "op5_toxicity": "doc_id held_out score predicted", "op6_html_layout": "page_id text", "op7_near_dedup": "doc_id n_shingles component_id kept",
     "op8_language_id": "doc_id held_out lang_pred score", "op9_mix_sources": "doc_id size source_size target taken",
-    "op10_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op10_substring_dedup": "doc_id n_words n_removed kept_sha256", "op11_collocations": "lang rank phrase a l r n score",
+    "op12_multi_index": "query_id rank vec_id score", "op13_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
@@ -28,7 +29,9 @@ def test_query(spark, name):
     df = LLM_QUERIES[name](spark, FOLDER)
     rows = df.collect()
     assert set(COLUMNS[name].split()) <= set(df.columns)
-    if name != "op1_decontaminate":
+    if name == "op12_multi_index":
+        assert len(rows) == 20 * spark.read.parquet(f"{FOLDER}/embeddings.parquet").where("vec_id % 20 = 0").count()
+    elif name not in ("op1_decontaminate", "op11_collocations"):
         assert len(rows) == spark.read.parquet(f"{FOLDER}/{'pages' if 'html' in name else 'documents'}.parquet").count()
     if name in LLM_SQL:
         cursor = connect(FOLDER).execute(LLM_SQL[name])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial, reduce
 
 import numpy as np
@@ -22,7 +23,7 @@ UNKNOWN = "und"
 PIECE = 8 << 20  # bytes of text counted at once
 RANGES = 1 << 12  # most ranges into which the count buckets are dealt
 RANGE_BITS = (18, 24)  # buckets of a range, as powers of two: as few as make sense, as many as a task holds
-MAP_BITS = 27  # most bits of the map of frequent pairs (16 MB), whatever the corpus
+MAP_BITS = 27  # most bits of a map of frequent phrases (16 MB), whatever the corpus
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[65:91] += 32
@@ -53,30 +54,62 @@ def linked_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return doc, words, linked
 
 
+@dataclass
+class FrequentMap:
+    """Bits of hashed phrases: ``spread`` high bits of a hash name a range, the ``width`` next ones a bucket, of which the last ``folded`` name a bit."""
+
+    bits: np.ndarray
+    spread: int
+    width: int
+    folded: int
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        part = hashes >> np.uint64(64 - self.spread) if self.spread else np.zeros(len(hashes), np.uint64)
+        at = (part << np.uint64(self.folded)) | ((hashes >> np.uint64(64 - self.spread - self.width)) & np.uint64((1 << self.folded) - 1))
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 class _Words:
-    """The words of a batch as places in its vocabulary, with hashes of words and of neighbours per language."""
+    """The words of a batch as places in its vocabulary, and the hashes of the phrases that start at each of them."""
 
     def __init__(self, batch: pa.RecordBatch):
         doc, words, self.linked = linked_words(batch["text"])
         langs = batch["lang"].dictionary_encode()
-        self.langs, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()[doc]
         coded = words.dictionary_encode()
-        self.vocabulary = coded.dictionary
+        self.langs, self.vocabulary = langs.dictionary.to_pylist(), coded.dictionary
+        self.code, self.lang = coded.indices.to_numpy().astype(np.int64), langs.indices.to_numpy()[doc].astype(np.int64)
         seeds = np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs), np.uint64, len(self.langs))
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
-        self.code, self.lang = coded.indices.to_numpy().astype(np.int64), lang.astype(np.int64)
-        own = hashes[self.code] if len(hashes) else np.empty(0, np.uint64)
-        self.one = mix64(own + seeds[lang]) if len(own) else own
-        self.two = mix64(self.one[:-1] * GOLDEN + own[1:]) if len(own) else own
-        self.follows = np.flatnonzero(self.linked[:-1]) if len(own) else np.empty(0, np.int64)
-
-
-def _counted(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Counts of hashed words and pairs: ``part, entries`` with one row per piece of text and range; an entry is a bucket and a count up to 255."""
+        self.own = hashes[self.code] if len(hashes) else np.empty(0, np.uint64)
+        self.seed = seeds[self.lang] if len(seeds) else self.own
+
+    def phrases(self, most: int, maps: dict[int, FrequentMap]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``(k, alive, hashes)`` for k = 1 .. ``most``: where phrases of k words start that may be frequent, and the hashes of those.
+
+        Both phrases of k - 1 words inside must be alive, and the phrase itself be in the map of its length, where there is one.
+        """
+        n, alive, before = len(self.own), None, None
+        for k in range(1, most + 1):
+            if k == 1:
+                at, h = np.arange(n), mix64(self.own + self.seed)
+            else:
+                both = alive[:-1] & alive[1:] & self.linked[:-1] if k == 2 else alive[:-1] & alive[1:]
+                at = np.flatnonzero(both)
+                h = mix64(before[at] * GOLDEN + self.own[at + k - 1])
+            if k in maps:
+                fine = maps[k].holds(h)
+                at, h = at[fine], h[fine]
+            alive, before = np.zeros(n, bool), np.zeros(n, np.uint64)
+            alive[at], before[at] = True, h
+            yield k, alive, h
+
+
+def _counted(batches: Iterator[pa.RecordBatch], ranges: int, bits: int, sizes: range, known) -> Iterator[pa.RecordBatch]:
+    """Counts of hashed phrases of some lengths: ``part, entries`` with one row per piece of text and range; an entry is a bucket and a count up to 255."""
     shift = 64 - (ranges.bit_length() - 1) - bits
     for batch in pieces(batches, most=PIECE):
-        w = _Words(batch)
-        keys, n = np.unique(np.concatenate([w.one, w.two[w.follows]]) >> np.uint64(shift), return_counts=True)
+        hashes = [h for k, _, h in _Words(batch).phrases(sizes[-1], known.value) if k in sizes]
+        keys, n = np.unique(np.concatenate(hashes) >> np.uint64(shift), return_counts=True)
         part = (keys >> np.uint64(bits)).astype(np.int64)
         entries = ((keys & np.uint64((1 << bits) - 1)).astype(np.uint32) << np.uint32(8)) | np.minimum(n, 255).astype(np.uint32)
         edges = np.searchsorted(part, np.arange(ranges + 1))
@@ -106,54 +139,44 @@ def _frequent(batches: Iterator[pa.RecordBatch], bits: int, folded: int, least:
         yield row()
 
 
-def frequent_pairs(docs: DataFrame, least: int) -> tuple[np.ndarray, int, int, int]:
-    """``(bits, ranges, range bits, folded bits)``: a map of hashed words and pairs that leaves out only some that occur less than ``least`` times.
+def frequent_phrases(docs: DataFrame, least: int, sizes: range, known) -> FrequentMap:
+    """A map of hashed phrases that leaves out only some that occur less than ``least`` times.
 
-    Words and pairs are counted in as many hash buckets as the corpus has words, so a bucket holds about one rare pair. The map
-    has one bit per bucket, folded to at most ``1 << MAP_BITS`` bits; sharing a bit lets more windows through, never fewer.
+    Phrases of the given lengths that the maps ``known`` of shorter ones let through are counted in as many hash buckets as the corpus has words, so a
+    bucket holds about one rare phrase. The map has one bit per bucket, folded to at most ``1 << MAP_BITS`` bits; sharing a bit lets
+    more phrases through, never fewer.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = max(int(size // 4).bit_length(), RANGE_BITS[0])
     spread = min(wanted - RANGE_BITS[0], RANGES.bit_length() - 1)
     bits, ranges = min(wanted - spread, RANGE_BITS[1]), 1 << spread
     folded = min(bits, MAP_BITS - spread)
-    rows = (docs.mapInArrow(partial(_counted, ranges=ranges, bits=bits), "part int, entries binary").repartition("part").sortWithinPartitions("part")
+    counted = docs.mapInArrow(partial(_counted, ranges=ranges, bits=bits, sizes=sizes, known=known), "part int, entries binary")
+    rows = (counted.repartition("part").sortWithinPartitions("part")
             .mapInArrow(partial(_frequent, bits=bits, folded=folded, least=least), "part int, bits binary").collect())
     out = np.zeros((ranges, 1 << max(folded - 3, 0)), np.uint8)
     for part, data in rows:
         out[part] = np.frombuffer(data, np.uint8)
-    return out.ravel(), ranges, bits, folded
+    return FrequentMap(out.ravel(), spread, bits, folded)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], known, order: int) -> Iterator[pa.RecordBatch]:
-    """``lang, w1..wN, c``: windows counted per piece of text, cut (and padded) where a piece ends or the next pair is not in the map.
+    """``lang, w1..wN, c``: windows counted per piece of text, cut (and padded) where a piece ends or a phrase is not in its map.
 
     A word that is not in the map is counted as a window without words.
     """
-    bits, ranges, width, folded = known.value
-    spread = ranges.bit_length() - 1
-
-    def seen(hashes: np.ndarray) -> np.ndarray:
-        part = hashes >> np.uint64(64 - spread) if spread else np.zeros(len(hashes), np.uint64)
-        at = (part << np.uint64(folded)) | ((hashes >> np.uint64(64 - spread - width)) & np.uint64((1 << folded) - 1))
-        return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
     for batch in pieces(batches, most=PIECE):
         w = _Words(batch)
         n, v = len(w.code), len(w.vocabulary)
-        first = seen(w.one)
-        goes = np.zeros(n + order, bool)  # the window may go on from a word to the next
-        goes[w.follows] = first[w.follows] & seen(w.two[w.follows])
         code = np.concatenate([w.code, np.zeros(order, np.int64)])
         # one column after another: rows with equal columns so far share a group
-        start = np.flatnonzero(first)
-        group, at = w.lang[start] * v + w.code[start], start
-        groups, group = np.unique(group, return_inverse=True)
-        columns = [(groups // max(v, 1)), (groups % max(v, 1))]
-        alive = np.ones(len(start), bool)
-        for k in range(1, order):
-            alive = alive & goes[at + k - 1]
-            nxt = np.where(alive, code[at + k] + 1, 0)
+        for k, alive, _ in w.phrases(order, known.value):
+            if k == 1:
+                first, start = alive, np.flatnonzero(alive)
+                groups, group = np.unique(w.lang[start] * v + w.code[start], return_inverse=True)
+                columns = [groups // max(v, 1), groups % max(v, 1)]
+                continue
+            nxt = np.where(alive[start], code[start + k - 1] + 1, 0)
             groups, group = np.unique(group * (v + 1) + nxt, return_inverse=True)
             columns = [c[groups // (v + 1)] for c in columns] + [groups % (v + 1) - 1]
         counts = np.bincount(group, minlength=len(columns[0]))
@@ -174,10 +197,14 @@ def count_phrases(docs: DataFrame, least: int = LEAST, order: int = ORDER) -> Da
     with ``words`` 0 and the number of all words.
 
     Only windows of ``order`` words, padded at the end of a piece, are counted; ``ROLLUP`` sums their shorter prefixes. Windows are
-    cut before a pair that occurs less than ``least`` times, which no counted phrase holds.
+    cut before a word that would make a phrase of less than ``least`` occurrences, which no counted phrase holds.
     """
     docs = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang")).where("text is not null")
-    known = docs.sparkSession.sparkContext.broadcast(frequent_pairs(docs, least))
+    share, maps = docs.sparkSession.sparkContext.broadcast, {}
+    for sizes in (range(1, 3), range(3, order + 1)):
+        if sizes:
+            maps = maps | dict.fromkeys(sizes, frequent_phrases(docs, least, sizes, share(maps)))
+    known = share(maps)
     names = [f"w{i + 1}" for i in range(order)]
     windows = docs.mapInArrow(partial(_windows, known=known, order=order), f"lang string, {', '.join(f'{x} string' for x in names)}, c bigint")
     summed = windows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("level"))

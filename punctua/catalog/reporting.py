@@ -480,6 +480,13 @@ _CHECKS = ("case event_type when 'error' then 'stale for 3h' when 'view' then 's
            "then 'down' end")
 
 
+def check_results(t: Tables) -> DataFrame:
+    """A check result per event: what is wrong with one user at one time, or nothing."""
+    detail = (F.when(F.col("event_type") == "error", "stale for 3h").when(F.col("event_type") == "view", "stale for 7.5h")
+              .when(F.col("event_type") == "click", "down"))
+    return t.events.select(F.col("user_id").cast("string").alias("check"), F.col("ts").alias("checked_at"), detail.alias("detail"))
+
+
 @query("alert_throttle", f"""
 with recursive results as (
   select user_id::varchar as "check", ts as checked_at, {_CHECKS} as detail from events),
@@ -504,11 +511,7 @@ walk as (
 select "check", kind, checked_at, detail, said as suppressed from walk where kind is not null""")
 def alert_throttle(t: Tables) -> DataFrame:
     """J6. Announce a problem at once, on change, at most every 6 hours, and its end once."""
-    detail = (F.when(F.col("event_type") == "error", "stale for 3h").when(F.col("event_type") == "view", "stale for 7.5h")
-              .when(F.col("event_type") == "click", "down"))
-    results = t.events.select(F.col("user_id").cast("string").alias("check"), F.col("ts").alias("checked_at"),
-                              detail.alias("detail"))
-    return throttle_alerts(results)
+    return throttle_alerts(check_results(t))
 
 
 @query("carried_results", """

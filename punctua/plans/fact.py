@@ -13,7 +13,7 @@ from punctua.operators import asof_join, collapse_with_count, gate_columns, iden
 
 __all__ = [
     "FACT_COLUMNS", "attribute", "build_fact", "delay_flags", "has_retimed_schedule", "has_suspect_times",
-    "physical_events", "series_readings", "with_reading", "with_reading_at_schedule",
+    "event_rows", "physical_events", "series_readings", "with_reading", "with_reading_at_schedule",
 ]
 
 DESIGNATORS = ("codeshare_flight_iata", "flight_iata", "flight_icao")
@@ -114,6 +114,16 @@ def with_reading_at_schedule(events: DataFrame, readings: DataFrame, cfg: Settin
                      bucket_seconds=cfg.asof_bucket_seconds, fan=cfg.asof_fan).drop("_read_at")
 
 
+def event_rows(staged: DataFrame, airports: DataFrame, cfg: Settings = DEFAULTS,
+               tap: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The events of staged rows with keys and flags, before any reading joins them."""
+    scoped = identified(in_scope(staged, airports, "arrival_airport", "iata_code"), *DESIGNATORS)
+    return delay_flags(tap(physical_events(attribute(scoped, cfg))), cfg).withColumns({
+        "flight_event_key": event_key("operating_flight_iata", "departure_scheduled_local"),
+        "has_codeshare_partners": F.col("marketing_label_count") > 1,
+    })
+
+
 def build_fact(staged: DataFrame, weather: DataFrame, airports: DataFrame, cfg: Settings = DEFAULTS,
                at_schedule: bool = False, tap: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The 43-column fact table (plus ``wind_at_schedule`` on request), as one lazy plan.
@@ -121,12 +131,7 @@ def build_fact(staged: DataFrame, weather: DataFrame, airports: DataFrame, cfg:
     ``tap`` sees the collapsed events before the weather joins. They are read more than once from there
     on, so a job over a large landing zone passes ``DataFrame.checkpoint`` or writes them here.
     """
-    scoped = identified(in_scope(staged, airports, "arrival_airport", "iata_code"), *DESIGNATORS)
-    events = tap(physical_events(attribute(scoped, cfg)))
-    events = delay_flags(events, cfg).withColumns({
-        "flight_event_key": event_key("operating_flight_iata", "departure_scheduled_local"),
-        "has_codeshare_partners": F.col("marketing_label_count") > 1,
-    })
+    events = event_rows(staged, airports, cfg, tap)
     readings = series_readings(weather)
     fact = with_reading(events, readings, cfg)
     if at_schedule:

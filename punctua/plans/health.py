@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +11,7 @@ from punctua.operators import asof_join, left_from_dim
 
 __all__ = [
     "age_per_member", "carry_result", "file_clock", "freshness_problems", "freshness_text", "newest_age",
-    "problem_signature", "throttle_alerts", "utc_now",
+    "problem_signature", "utc_now",
 ]
 
 
@@ -104,56 +101,3 @@ def problem_signature(detail: Column | str) -> Column:
     """J6. A problem's wording without its ages, so that only a real change counts as news."""
     text = F.col(detail) if isinstance(detail, str) else detail
     return F.regexp_replace(text, r"\d+(\.\d+)?h\b", "Nh")
-
-
-ALERT_FIELDS = "kind STRING, checked_at TIMESTAMP_NTZ, detail STRING, suppressed BIGINT"
-
-
-class AlertState:
-    """What the throttle remembers per problem: its wording, its last alert, and repeats held back since."""
-
-    def __init__(self, signature=None, last=None, held: int = 0):
-        self.signature, self.last, self.held = signature, last, held
-
-    def advance(self, at, text, signature, realert: pd.Timedelta):
-        """The announcement one result causes, or None."""
-        if signature is None or signature != signature:
-            said = ("recovered", at, None, self.held) if self.signature is not None else None
-            self.__init__()
-            return said
-        if signature == self.signature and at <= self.last + realert:
-            self.held += 1
-            return None
-        said = ("alert", at, text, self.held)
-        self.signature, self.last, self.held = signature, at, 0
-        return said
-
-
-def throttle_alerts(results: DataFrame, key: str = "check", at: str = "checked_at", detail: str = "detail",
-                    realert_hours: float = DEFAULTS.realert_hours) -> DataFrame:
-    """J6. Which check results to announce, and how many repeats each announcement stands for.
-
-    A new problem is announced at once, again when its wording changes, and otherwise at most every
-    ``realert_hours``; the end of a problem is announced once. Every result counts, in order of time and, at one
-    time, of wording (no problem first). A NULL key is a key of its own; results without a time come first.
-    """
-    rows = results.select(key, F.col(at).alias("checked_at"), F.col(detail).alias("detail"),
-                          problem_signature(detail).alias("signature"))
-    realert = pd.Timedelta(hours=realert_hours)
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = [], AlertState()
-        for batch in batches:
-            out = []
-            for k, when, text, sign in zip(batch[key], batch["checked_at"], batch["detail"], batch["signature"]):
-                k = None if k != k else k
-                if [k] != current:
-                    current, state = [k], AlertState()
-                said = state.advance(when, text, sign, realert)
-                if said:
-                    out.append((k, *said))
-            yield pd.DataFrame(out, columns=[key, "kind", "checked_at", "detail", "suppressed"])
-
-    # Keys arrive whole and in time order, one after another, so a task remembers one key's state only.
-    ordered = rows.repartition(key).sortWithinPartitions(key, "checked_at", F.asc_nulls_first("detail"))
-    return ordered.mapInPandas(fold, f"`{key}` {dict(rows.dtypes)[key]}, {ALERT_FIELDS}").withColumnRenamed("checked_at", at)

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "punctua", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -51,3 +51,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _scratch()
     return f"{root.rstrip('/')}/{name}-{os.urandom(6).hex()}"
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for what is read more than once."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

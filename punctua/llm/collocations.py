@@ -20,7 +20,7 @@ ORDER = 4  # words of the longest phrase
 COVERED = 80  # percent of a phrase's occurrences inside one longer candidate that drop it
 TOP = 2000  # phrases reported for each language
 UNKNOWN = "und"
-PIECE = 8 << 20  # bytes of text counted at once
+PIECE = 6 << 20  # bytes of text counted at once
 RANGES = 1 << 12  # most ranges into which the count buckets are dealt
 RANGE_BITS = (18, 24)  # buckets of a range, as powers of two: as few as make sense, as many as a task holds
 MAP_BITS = 27  # most bits of a map of frequent phrases (16 MB), whatever the corpus
@@ -207,6 +207,7 @@ def count_phrases(docs: DataFrame, least: int = LEAST, order: int = ORDER) -> Da
     known = share(maps)
     names = [f"w{i + 1}" for i in range(order)]
     windows = docs.mapInArrow(partial(_windows, known=known, order=order), f"lang string, {', '.join(f'{x} string' for x in names)}, c bigint")
+    windows = windows.groupBy("lang", *names).agg(F.sum("c").alias("c"))  # far fewer rows than ROLLUP would make of each piece's
     summed = windows.rollup("lang", *names).agg(F.sum("c").alias("f"), F.grouping_id().alias("level"))
     words = F.lit(order) - F.bit_count("level")  # the level has one bit for each column summed over
     last = reduce(lambda rest, k: F.when(F.col("words") == k, F.col(f"w{k}").isNotNull()).otherwise(rest), range(1, order + 1), F.lit(True))

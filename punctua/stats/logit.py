@@ -9,7 +9,7 @@ one small system per model. What reaches the driver is bounded by models x terms
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +28,7 @@ __all__ = [
 INTERCEPT = "Intercept"
 MAX_STEPS, TOLERANCE = 35, 1e-8
 _CHUNK = 2048
+_CHUNK_CELLS = 1 << 21  # rows x models handled at once
 _WORK_PER_TASK = 200_000  # cells x models
 
 
@@ -84,13 +85,14 @@ def _matrix(batch: pa.RecordBatch, col: str, width: int) -> np.ndarray:
     return batch.column(col).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], k: int, ny: int, nw: int):
-    """(X, Y, W, batch slice) in pieces small enough that rows x models stays in memory."""
+def _chunks(batches: Iterator[pa.RecordBatch], k: int, ny: int, nw: int, draw: Callable[[pa.RecordBatch], np.ndarray] | None = None, models: int = 1):
+    """(X, Y, W, batch slice) in pieces small enough that rows x models stays in memory. ``draw`` makes the weights of a slice instead of column w."""
+    rows = max(1, min(_CHUNK, _CHUNK_CELLS // models))
     for batch in batches:
-        for start in range(0, batch.num_rows, _CHUNK):
-            part = batch.slice(start, _CHUNK)
+        for start in range(0, batch.num_rows, rows):
+            part = batch.slice(start, rows)
             n = part.column("n").to_numpy(zero_copy_only=False).astype(float)[:, None]
-            yield _matrix(part, "x", k), _matrix(part, "y", ny), _matrix(part, "w", nw) * n, part
+            yield _matrix(part, "x", k), _matrix(part, "y", ny), (draw(part) if draw else _matrix(part, "w", nw)) * n, part
 
 
 def _sums(cells: DataFrame, per_batch, width: int, models: int) -> np.ndarray:
@@ -123,17 +125,18 @@ class _Cells:
     nw: int
     y_of: np.ndarray  # model -> outcome
     w_of: np.ndarray  # model -> weight
+    draw: Callable[[pa.RecordBatch], np.ndarray] | None = None
 
     def step(self, beta: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Gradient, upper Hessian, weight and hits per active model."""
-        k, ny, nw = self.k, self.ny, self.nw
+        k, ny, nw, draw = self.k, self.ny, self.nw, self.draw
         y_of, w_of, b = self.y_of[active], self.w_of[active], beta[active]
         iu, ju = np.triu_indices(k)
         width = k + len(iu) + 2
 
         def per_batch(batches):
             total = None
-            for x, y, w, _ in _chunks(batches, k, ny, nw):
+            for x, y, w, _ in _chunks(batches, k, ny, nw, draw, len(b)):
                 yy, ww = y[:, y_of], w[:, w_of]
                 p = _probability(x, b)
                 grad = (ww * (yy - p)).T @ x
@@ -241,10 +244,10 @@ def _kept(df: DataFrame, models: int) -> tuple[DataFrame, DataFrame]:
     return kept, kept.coalesce(max(1, tasks))
 
 
-def _newton(cells: _Cells, masks: list[np.ndarray]) -> tuple[np.ndarray, list, np.ndarray, np.ndarray, np.ndarray]:
+def _newton(cells, masks: list[np.ndarray], start: np.ndarray | None = None) -> tuple[np.ndarray, list, np.ndarray, np.ndarray, np.ndarray]:
     """Newton steps for all models together. Returns betas, inverse Hessians, steps, converged, (n, hits)."""
     j, k = len(masks), cells.k
-    beta, steps = np.zeros((j, k)), np.zeros(j, int)
+    beta, steps = np.zeros((j, k)) if start is None else start.copy(), np.zeros(j, int)
     converged, failed = np.zeros(j, bool), np.zeros(j, bool)
     inverse: list = [None] * j
     totals = np.zeros((j, 2))

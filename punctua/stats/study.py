@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from punctua import config
 from punctua.stats.bootstrap import cluster_bootstrap, draw_interval
 from punctua.stats.intervals import holm, interval_side
+from punctua.stats.left_out import leave_out_fits
 from punctua.stats.logit import Fit, Model, factor, fit_logits, number, odds_ratios
 
 __all__ = [
@@ -142,11 +143,11 @@ def variant_table(df: DataFrame, study: Study, fits: Sequence[Fit]) -> DataFrame
 
 def leave_one_out(df: DataFrame, study: Study, batch: str) -> DataFrame:
     """L14. Refits without one batch each: smallest and largest odds ratio per comparison."""
-    values = [r[0] for r in df.select(F.col(batch).cast("string")).distinct().collect()]
-    variants = [Variant(v, tuple(study.controls), F.col(batch).cast("string") != F.lit(v)) for v in sorted(values)]
-    table = variant_table(df, study, fit_variants(df, study, variants))
-    return table.groupBy("comparison").agg(F.min("odds_ratio").alias("smallest"), F.max("odds_ratio").alias("largest"),
-                                           F.count(F.lit(1)).alias("fits"))
+    models = [Model("primary", (study.group, *study.controls), study.outcome), Model("secondary", (*study.pairs, *study.controls), study.outcome)]
+    wanted = [("primary", study.group, f"{study.base} vs rest"), *[("secondary", term, label) for term, label in study.pairs.items()]]
+    names = df.sparkSession.createDataFrame(wanted, "model STRING, term STRING, comparison STRING")
+    return leave_out_fits(df, study.terms(), models, batch).join(F.broadcast(names), ["model", "term"]).groupBy("comparison").agg(
+        F.min("odds_ratio").alias("smallest"), F.max("odds_ratio").alias("largest"), F.count(F.lit(1)).alias("fits"))
 
 
 def lateness_grid(study: Study, delay: str, cuts: Mapping[str, tuple[int, int]]) -> list[Variant]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctua import stats as S
+from punctua.stats import bootstrap, left_out
 from punctua.stats.study import Variant
 
 
@@ -86,7 +87,9 @@ def test_missing_inputs_and_separation_stop_the_fit(spark, sample):
 
 def test_bootstrap_draws_keep_strata_sizes_and_refit_like_numpy(sample):
     pdf, df = sample
-    draws = {r.batch: np.array(r.draws) for r in S.batch_draws(df, "place", "batch", 30, 5).collect()}
+    draws = {k: np.zeros(30) for k in set(pdf.batch)}
+    for r in S.batch_draws(df, "place", "batch", 30, 5).collect():
+        draws[r.batch][r.rep] = r.n
     for p in ("ATL", "EWR", "SFO"):
         total = sum(v for k, v in draws.items() if k.startswith(p))
         assert (total == 8).all()
@@ -99,7 +102,7 @@ def test_bootstrap_draws_keep_strata_sizes_and_refit_like_numpy(sample):
     assert [d["sfo"] for d in again["draws"]] == pytest.approx([d["sfo"] for d in boot["draws"]], abs=1e-9)
 
 
-def test_study(sample):
+def test_study(sample, monkeypatch):
     pdf, df = sample
     study = S.Study("sfo", "place", ("ATL", "EWR", "SFO"), "SFO", F.col("y"), {**S.number("night"), **S.number("wind")}, "batch")
     table, boot = S.study_summary(df, study, "place", reps=60)
@@ -113,7 +116,9 @@ def test_study(sample):
     row = variants.where("variant = 'calm' and comparison = 'SFO vs rest'").first()
     assert (row.odds_ratio, row.rows) == (pytest.approx(math.exp(b[1])), len(calm))
     assert row.ci_low == pytest.approx(math.exp(b[1] - S.intervals.Z95 * math.sqrt(cov[1, 1])))
+    monkeypatch.setattr(left_out, "BATCHES", 3)  # several blocks of batches
     left = {r.comparison: r for r in S.leave_one_out(df, study, "pull").collect()}
+    assert {r.fits for r in left.values()} == {8}
     wants = [math.exp(numpy_fit(design(p, "sfo", "night", "wind"), p.y.to_numpy())[0][1])
              for p in (pdf[pdf.pull != k] for k in range(8))]
     assert (left["SFO vs rest"].smallest, left["SFO vs rest"].largest) == pytest.approx((min(wants), max(wants)))
@@ -179,3 +184,19 @@ def test_an_unlisted_level_is_refused(spark):
     assert [r[0] for r in df.select(*[c.alias(n) for n, c in terms.items()]).collect()] == [0.0, 1.0, None]
     with pytest.raises(Exception, match="not a listed level"):
         df.union(spark.createDataFrame([("c",)], "g STRING")).select(*[c.alias(n) for n, c in terms.items()]).collect()
+
+
+def test_a_batch_that_the_rest_cannot_do_without(spark):
+    rows = [(i % 2, (i // 2) % 2, "a") for i in range(40)] + [(1, 1, "b"), (0, 1, None)]
+    df = spark.createDataFrame([r for r in rows if r[0] or r[1] == 0 or r[2] is None], "x INT, y INT, batch STRING")
+    got = {r.batch: r for r in S.leave_out_fits(df, S.number("x"), [S.Model("m", ("x",), F.col("y"))], "batch").collect()}
+    assert got["a"].odds_ratio is None  # what stays is all late
+    k = [(r.x, r.y) for r in df.where("batch is null or batch <> 'b'").collect()]
+    n = lambda x, y: k.count((x, y))
+    assert got["b"].odds_ratio == pytest.approx(n(1, 1) * n(0, 0) / (n(1, 0) * n(0, 1))) and got["b"].rows == len(k)
+
+
+def test_the_mixing_function_is_one_in_columns_arrays_and_numbers(spark):
+    x = np.array([0, 1, 12345, 2**32 - 1], dtype=np.int64)
+    column = [r[0] for r in spark.createDataFrame([(int(v),) for v in x], "x BIGINT").select(bootstrap.mixed(F.col("x"))).collect()]
+    assert column == bootstrap.mixed(x).tolist() == [bootstrap.mixed(int(v)) for v in x]

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search (DataFrame operations only)."""
+"""Benchmark decontamination: containment search by a lossless prefix of each item's shingles (DataFrame operations only)."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
 
 
 def containment_sketches(items: DataFrame, percent: int) -> DataFrame:
-    """The MinHash sketch of every item: ``item_id, h, least`` with sketch length and document bound set by size partition.
+    """The sketch of every item, the prefix of its shingles that any holder shares: ``item_id, h, least`` with sketch length and document bound set by size partition.
 
     A document that holds ``c = ceil(n * percent / 100)`` of an item's ``n`` shingles misses ``n - c`` of them, so it holds one
     of any ``n - c + 1``. Items are partitioned by size at powers of two; every item of a partition gets its
@@ -40,17 +40,34 @@ def containment_sketches(items: DataFrame, percent: int) -> DataFrame:
             .select("item_id", "h", _needed(F.pow(F.lit(2.0), part), percent).cast("int").alias("least")))
 
 
-def _document_shingles(docs: DataFrame, *columns: Column) -> DataFrame:
+def _short_widths(items: DataFrame) -> list[int]:
+    """Numbers of words below ``SHINGLE`` that some item has: at most ``SHINGLE - 1``."""
+    size = F.size(F.split("shingle", " "))
+    return sorted(r[0] for r in items.select(size.alias("m")).where(F.col("m") < SHINGLE).distinct().collect())
+
+
+def _document_shingles(docs: DataFrame, short: list[int], *columns: Column) -> DataFrame:
+    """Every run of ``SHINGLE`` words, and of as many words as short items have: ``doc_id, h`` and ``columns`` over ``w, at, width``."""
     tokens = docs.select("doc_id", words(F.lower("text")).alias("w"))
-    return tokens.select("doc_id", "w", F.explode(starts(F.col("w"), SHINGLE)).alias("at")).select(
-        "doc_id", shingle_hash(F.col("w"), F.col("at"), SHINGLE).alias("h"), *columns)
+
+    def spots(m: int) -> Column:
+        at = F.when(F.size("w") >= m, F.sequence(F.lit(0), F.size("w") - m)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(i.alias("at"), F.lit(m).alias("width"))) if short else at
+
+    spot = F.explode(F.concat(*[spots(m) for m in (SHINGLE, *short)]))
+    if not short:
+        each = tokens.select("doc_id", "w", spot.alias("at"), F.lit(SHINGLE).alias("width"))
+        return each.select("doc_id", shingle_hash(F.col("w"), F.col("at"), SHINGLE).alias("h"), *columns)
+    each = tokens.select("doc_id", "w", spot.alias("spot")).select("doc_id", "w", "spot.*")
+    parts = [F.when(F.col("width") > i, F.get("w", F.col("at") + i)) for i in range(SHINGLE)]  # nulls do not change the hash
+    return each.select("doc_id", F.xxhash64(*parts).alias("h"), *columns)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED) -> DataFrame:
     """Documents that hold a benchmark item: ``doc_id, item_id, n_item, n_shared, containment``, one row per pair.
 
-    Texts are lower-cased; shingles are ``SHINGLE`` consecutive words, or the whole text if it has fewer. An item is held
-    if at least ``percent`` of its distinct shingles occur in the document. Sketches find every such pair (see
+    Texts are lower-cased; shingles are ``SHINGLE`` consecutive words. An item is held if at least ``percent`` of its distinct shingles occur in
+    the document; an item of fewer words is one shingle, held wherever its words stand one after another. Sketches find every such pair (see
     :func:`containment_sketches`); the shingles of the found documents are then compared as text.
 
     The sketches are joined without a hint: Spark broadcasts them below its own size threshold, else both sides shuffle
@@ -59,13 +76,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED)
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     items = staged(item_shingles(benchmark.select("item_id", "text").where("item_id is not null")), "leak-items")
-    sketches = staged(containment_sketches(items, percent), "leak-sketches")
+    sketches, short = staged(containment_sketches(items, percent), "leak-sketches"), _short_widths(items)
     size = F.size("w").alias("words")
-    found = staged(_document_shingles(docs, size).join(sketches, "h").where("words >= least")
+    found = staged(_document_shingles(docs, short, size).join(sketches, "h").where("words >= least")
                    .select("doc_id", "item_id").distinct(), "leak-candidates")
     held = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    text = F.array_join(F.slice("w", F.col("at") + 1, SHINGLE), " ").alias("shingle")
-    shared = (_document_shingles(held, text).join(items, ["h", "shingle"]).join(found, ["doc_id", "item_id"], "left_semi")
+    text = F.array_join(F.slice("w", F.col("at") + 1, F.col("width")), " ").alias("shingle")
+    shared = (_document_shingles(held, short, text).join(items, ["h", "shingle"]).join(found, ["doc_id", "item_id"], "left_semi")
               .groupBy("doc_id", "item_id").agg(F.first("n").alias("n_item"), F.count_distinct("shingle").alias("n_shared")))
     return shared.where(F.col("n_shared") >= _needed(F.col("n_item"), percent)).select(
         "doc_id", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))

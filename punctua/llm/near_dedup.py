@@ -92,11 +92,14 @@ def _sign(width: int):
 
 
 def _set_rows(width: int):
+    """The sets of members from texts of their documents; a text with another set than the member's is passed over."""
     schema = pa.schema([("doc", pa.int64()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            yield pa.RecordBatch.from_arrays([part["doc"], pa.array([v.tobytes() for v in shingle_sets(part["text"], width)], pa.binary())], schema=schema)
+            sets = [v.tobytes() for v in shingle_sets(part["text"], width)]
+            own = pa.array([xxhash.xxh3_128_digest(v) == key for v, key in zip(sets, part["set_key"].to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part["doc"], pa.array(sets, pa.binary())], schema=schema).filter(own)
 
     return run
 
@@ -180,7 +183,7 @@ def _confirm(percent: int):
 
 
 class _Members:
-    """One row per distinct shingle set, and what confirms links between them."""
+    """One row per distinct shingle set under a number of its own (``doc``), and what confirms links between them."""
 
     def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int):
         self.docs, self.rows, self.width, self.percent = docs, rows, width, percent
@@ -224,7 +227,8 @@ class _Members:
         """The pairs ``(a, b)`` with ``a <> b`` whose Jaccard similarity on the full sets reaches the threshold."""
         likely = staged(likely, f"{name}-likely")
         ends = staged(likely.select(F.col("a").alias("doc")).union(likely.select("b")).distinct(), f"{name}-ends")
-        sets = staged(self.docs.join(ends, "doc", "left_semi").mapInArrow(_set_rows(self.width), "doc bigint, values binary")
+        asked = self.rows.join(ends, "doc").select("doc", "doc_id", "set_key")
+        sets = staged(self.docs.join(asked, "doc_id").select("doc", "set_key", "text").mapInArrow(_set_rows(self.width), "doc bigint, values binary")
                       .groupBy("doc").agg(F.max("values").alias("values")), f"{name}-sets")
         deal = F.pmod(F.xxhash64("b"), F.lit(64))  # a center with many members is dealt over tasks
         members = likely.join(sets, likely["b"] == sets["doc"]).select("a", "b", deal.alias("deal"), "values")
@@ -243,7 +247,7 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
     Two documents are linked if their sets of ``width``-word shingles (A-Z lower-cased) have a Jaccard similarity of
     at least ``percent`` percent; ``component_id`` is the smallest id reachable over links.
 
-    1. Documents with one set are one member, its smallest id. Compressed registers are banded; members that share
+    1. Documents with one set are one member, numbered by its set. Compressed registers are banded; members that share
        a band are candidates.
     2. Every member of a band meets the band's smallest member. Where a band then still holds several components, the documents outside
        the largest meet all its documents, in blocks. Pairs inside one component need no test, so a
@@ -257,10 +261,9 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed_docs = staged(docs.mapInArrow(_sign(width), "doc_id bigint, n_shingles bigint, set_key binary, registers binary"), "near-signed")
     usable = signed_docs.where("n_shingles > 0 and doc_id is not null")
-    members = staged(usable.groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n_shingles"),
-                                                   F.first("registers").alias("registers")), "near-members")
-    texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "doc")
-    sets = _Members(texts, members, width, percent)
+    members = usable.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+    members = staged(members.withColumn("doc", F.monotonically_increasing_id()), "near-members")  # the numbers are fixed by being written
+    sets = _Members(docs.where("doc_id is not null"), members, width, percent)
 
     keyed = members.select("doc", _band_keys())
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("pivot")).where("size > 1").drop("size")
@@ -269,8 +272,10 @@ def near_groups(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame
     links = sets.confirm(sets.likely(stars), "near-star")
     links = links.union(sets.confirm(sets.strays(bands, components(links)), "near-stray"))
 
-    same_set = usable.select(F.col("doc_id").alias("b"), "set_key").join(members.select("set_key", F.col("doc").alias("a")), "set_key").select("a", "b")
-    component = components(links.union(same_set))
+    first = [members.select(F.col("doc").alias(c), F.col("doc_id").alias(f"id_{c}")) for c in "ab"]
+    between = links.join(first[0], "a").join(first[1], "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    same_set = usable.select(F.col("doc_id").alias("b"), "set_key").join(members.select("set_key", F.col("doc_id").alias("a")), "set_key").select("a", "b")
+    component = components(between.union(same_set))
     found = signed_docs.join(component, signed_docs["doc_id"] == component["node"], "left")
     smallest = F.coalesce("component", "doc_id")
     return found.select("doc_id", "n_shingles", smallest.alias("component_id"), F.coalesce(F.col("doc_id") == smallest, F.lit(True)).alias("kept"))

@@ -14,17 +14,16 @@ def _word_list(text: str) -> str:
     return f"list_filter(regexp_split_to_array({text}, {_GAP}), lambda x: x <> '')"
 
 
-def _shingles(table: str, key: str) -> str:
-    return f"""
-    select distinct {key}, array_to_string(w[i + 1 : i + {SHINGLE}], ' ') as s
-    from (select {key}, w, unnest(range(0, greatest(len(w) - {SHINGLE}, 0) + 1)) as i
-          from (select {key}, {_word_list("lower(text)")} as w from {table} where text is not null and {key} is not null)
-          where len(w) > 0)"""
+def _words(table: str, key: str) -> str:
+    return f"select {key}, {_word_list('lower(text)')} as w from {table} where text is not null and {key} is not null"
 
 
 DECONTAMINATE = f"""
-with d as ({_shingles("documents", "doc_id")}),
-b as ({_shingles("benchmark", "item_id")}),
+with bw as ({_words("benchmark", "item_id")}), dw as ({_words("documents", "doc_id")}),
+b as (select distinct item_id, least(len(w), {SHINGLE}) as m, array_to_string(w[i + 1 : i + {SHINGLE}], ' ') as s
+      from (select *, unnest(range(0, greatest(len(w) - {SHINGLE}, 0) + 1)) as i from bw where len(w) > 0)),
+d as (select distinct doc_id, array_to_string(w[i + 1 : i + m], ' ') as s
+      from (select *, unnest(range(0, len(w) - m + 1)) as i from dw, (select distinct m from b union select {SHINGLE}) where len(w) >= m)),
 n as (select item_id, count(*) as n_item from b group by item_id),
 m as (select doc_id, item_id, count(*) as n_shared from d join b using (s) group by doc_id, item_id)
 select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment

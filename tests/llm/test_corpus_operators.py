@@ -165,6 +165,24 @@ def groups(rows, width, percent):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in sets}
 
 
+def test_every_text_of_an_id_links(spark, texts):
+    rng = random.Random(8)
+    a, c = prose(rng, 120), prose(rng, 120)
+    near = lambda t, w: " ".join([*t.split()[:-1], w])
+    rows = [(1, a), (1, c), (2, near(a, "x")), (3, near(c, "y")), (4, prose(rng, 120)), (5, near(c, "z"))]
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_groups(frame(spark, rows)).collect()}
+    assert got == {1: (1, True), 2: (1, False), 3: (1, False), 4: (4, True), 5: (1, False)}
+
+
+def test_short_items_are_found_inside_documents(spark):
+    docs = [(1, "alpha beta gamma"), (2, "well Alpha beta gamma indeed and more"), (3, "alpha beta delta gamma"), (4, "beta gamma"), (5, None), (6, "x y"),
+            (7, "one two three four five six"), (8, "solo")]
+    bench = spark.createDataFrame([("a", "alpha beta gamma"), ("b", "solo"), ("c", "two three four five six seven"), ("d", "one two three four five"), ("e", None)], "item_id string, text string")
+    found = find_leaks(frame(spark, docs), bench)
+    assert sorted((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in found.collect()) == [(1, "a", 1, 1), (2, "a", 1, 1), (7, "d", 1, 1), (8, "b", 1, 1)]
+    assert sorted(r.doc_id for r in drop_leaks(frame(spark, docs), bench).collect()) == [3, 4, 5, 6]
+
+
 def test_near_groups(spark, texts):
     rows = [r for r in texts if r[0] is not None]
     docs = frame(spark, [*rows, (None, texts[0][1])])

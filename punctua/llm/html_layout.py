@@ -389,6 +389,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     Paragraphs, headings, lists and tables are set apart by an empty line, other blocks by a line; list items carry a bullet or number and
     indent; cells of a table column start at one place; ``pre`` keeps its white space. Of ``svg`` its text elements and HTML are shown. Not shown: head, scripts, styles, templates, embedded media, annotations of ``math``, ``hidden``,
     ``display:none``, ``visibility:hidden``, closed details and dialogs. A null or empty page gives an empty text; each row stands alone, so repeated rows agree and null ids stay.
+    Tables nested ``TABLES`` deep are laid out as plain blocks, and a cell spans at most 1,000 columns or rows; no text is lost by either.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

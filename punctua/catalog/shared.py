@@ -13,7 +13,7 @@ from punctua.catalog.derived import fact_sql
 from punctua.catalog.registry import SQL, Tables, query
 from punctua.plans.fact import FACT_COLUMNS
 from punctua.session import shared_dir
-from punctua.sources import CommitLog, GateFailed, load_shared
+from punctua.sources import CommitLog, GateFailed, drop_namespace, load_shared, publish, read_published, read_seed, read_table_or_export, run_loads
 from punctua.streaming import fact_of, fold_fact, open_fact, refresh_batch, start_refresh, start_throttle, watch_silence, write_batch
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -152,3 +152,34 @@ def stream_throttle(t: Tables) -> DataFrame:
         stream = t.spark.readStream.schema(schema).parquet(f"{root}/landing/*")
         start_throttle(stream, log, "results", f"{root}/checkpoint").awaitTermination()
     return log.snapshot().read("alerts")
+
+
+@query("export_fallback", """
+select o_orderkey, o_orderstatus, o_orderdate::timestamp as ordered_at, c_nationkey, n_name from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""")
+def export_fallback(t: Tables) -> DataFrame:
+    """A8, A10. Orders from a typed export, because their table is not there, scoped by a seed."""
+    root = shared_dir(t.spark, "exports")
+    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_orderstatus").alias("O_ORDERSTATUS"), F.col("o_orderdate").cast("timestamp_ntz").alias("ORDERED_AT"),
+        F.col("c_nationkey").alias("C_NATIONKEY"))
+    named.write.csv(f"{root}/orders", header=True)
+    t.nation.select("n_nationkey", "n_name").write.csv(f"{root}/nations", header=True)
+    seed = read_seed(t.spark, f"{root}/nations", "n_nationkey BIGINT, n_name STRING")
+    orders = read_table_or_export(t.spark, lambda: t.spark.read.parquet(f"{root}/no-such-table"), f"{root}/orders",
+                                  "O_ORDERKEY BIGINT, O_ORDERSTATUS STRING, ORDERED_AT STRING, C_NATIONKEY BIGINT")
+    return orders.join(seed, F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "o_orderstatus", "ordered_at", "c_nationkey", "n_name")
+
+
+@query("published_namespaces", """
+select 'orders' as table_name, count(*) as rows from orders where o_orderkey % 2 = 0 union all select 'customer', count(*) from customer""")
+def published_namespaces(t: Tables) -> DataFrame:
+    """A5, A9, A12. Independent loads publish two tables, one of them twice; the throwaway namespace can be dropped, the main one cannot."""
+    root = shared_dir(t.spark, "warehouse")
+    even = t.orders.where("o_orderkey % 2 = 0")
+    loads = {"orders": lambda: [publish(df, root, "orders") for df in (t.orders, even)], "customer": lambda: publish(t.customer, root, "customer"),
+             "throwaway": lambda: publish(t.customer.where(F.lit(False)), root, "customer", "ci")}
+    run_loads(loads)
+    if drop_namespace(t.spark, root, "main") or not drop_namespace(t.spark, root, "ci"):
+        raise AssertionError("only the throwaway namespace may be dropped")
+    parts = [read_published(t.spark, root, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in ("orders", "customer")]
+    return parts[0].unionByName(parts[1])

@@ -11,7 +11,8 @@ from punctua.catalog.registry import Tables, query
 from punctua.functions import datediff_boundary, flag, staleness_bucket, to_double
 from punctua.operators import (asof_join, carry_forward, collapse_with_count, counts, distinct_values, gate_columns, holdout_before,
                                latest_by, sample_window)
-from punctua.plans import FACT_COLUMNS, build_fact, new_members, series_readings, stage_flights, stage_weather
+from punctua.plans import FACT_COLUMNS, build_fact, field_profile, flatten_documents, new_members, series_readings, stage_flights, stage_weather
+from punctua.sources import read_documents
 from punctua.streaming import changed_events, refresh_events
 
 LINE_ORDER = [F.desc_nulls_last, "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -166,6 +167,42 @@ def stage_weather_query(t: Tables) -> DataFrame:
     return stage_weather(derived.raw_weather(t))
 
 
+def _landed_by_aircraft(t: Tables) -> DataFrame:
+    """The flight documents as real files, one for each aircraft, read back with parsed bodies; the key of a file is its aircraft.
+
+    An aircraft stands for a supplier, whose number of line items does not grow with the data: files become more, not longer.
+    """
+    def write(path: str) -> None:
+        record = F.from_json("raw_data", "data ARRAY<STRING>")["data"][0]
+        aircraft = F.from_json(record, "aircraft STRUCT<icao24: STRING>")["aircraft"]["icao24"]
+        (derived.raw_flights(t).groupBy(aircraft.alias("aircraft"))
+         .agg(F.concat(F.lit('{"data": ['), F.array_join(F.collect_list(record), ","), F.lit("]}")).alias("value"))
+         .write.partitionBy("aircraft").text(path))
+
+    path = derived.landing_folder(t, "raw-by-aircraft", write)
+    return read_documents(t.spark, path, "*.txt").withColumn("source_file", F.regexp_extract("source_file", "aircraft=([^/]+)/", 1))
+
+
+@query("landing_documents", f"""{STAGING_SQL}
+select {', '.join(c for c in _FLIGHT_COLUMNS if c != 'source_file')}, aircraft_icao24 as source_file from stg_flights""")
+def landing_documents(t: Tables) -> DataFrame:
+    """A1, B1-B3. Files of many records each, listed and read by the executors, parsed once into a variant, and staged from it."""
+    return _plain(stage_flights(_landed_by_aircraft(t)))
+
+
+_FIELDS = {"flight_date": "flight_date", "flight_status": "flight_status", "airline.name": "airline_name", "airline.iata": "airline_iata",
+           "flight.iata": "flight_iata", "flight.icao": "flight_icao", "arrival.actual": "arrival_actual_local",
+           "departure.timezone": "departure_timezone"}
+
+
+@query("field_profile", f"""{STAGING_SQL},
+wanted as ({" union all ".join(f"select '{f}' as field, {c} is null as missing from stg_flights" for f, c in _FIELDS.items())})
+select field, case when missing then 'VOID' else 'STRING' end as type, count(*) as records from wanted group by all""")
+def field_profile_query(t: Tables) -> DataFrame:
+    """A6, B1. Of the landed records, which fields have which type; nothing about them is declared beforehand."""
+    return field_profile(flatten_documents(_landed_by_aircraft(t))).where(F.col("field").isin(*_FIELDS))
+
+
 @query("fact_events", fact_sql(f"select {', '.join(FACT_COLUMNS)} from fact"))
 def fact_events(t: Tables) -> DataFrame:
     """The 43-column fact: scope, attribution, F1, F2, flags, as-of reading, gating."""

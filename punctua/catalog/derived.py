@@ -315,14 +315,19 @@ def fact_sql(body: str) -> str:
 _built: dict[tuple[str, str, str], str] = {}
 
 
-def written(t: Tables, name: str, build) -> DataFrame:
-    """A table built once per application and data folder, written to the shared folder and read back."""
+def landing_folder(t: Tables, name: str, write) -> str:
+    """A folder that ``write(path)`` fills once per application and data folder, on the shared file system."""
     key = (t.spark.sparkContext.applicationId, t.folder, name)
     if key not in _built:
         path = shared_dir(t.spark, name)
-        build().write.parquet(path)
+        write(path)
         _built[key] = path
-    return t.spark.read.parquet(_built[key])
+    return _built[key]
+
+
+def written(t: Tables, name: str, build) -> DataFrame:
+    """A table built once per application and data folder, written to the shared folder and read back."""
+    return t.spark.read.parquet(landing_folder(t, name, lambda path: build().write.parquet(path)))
 
 
 def fact_table(t: Tables) -> DataFrame:

@@ -10,9 +10,9 @@ from punctua.catalog.registry import Tables, query
 from punctua.functions import datediff_boundary, flag
 from punctua.operators import rate_by
 from punctua.session import shared_dir
-from punctua.stats import (Model, Study, Variant, average_marginal_effect, batch_draws, cluster_bootstrap, draw_interval, fit_logit, leave_out_fits, fit_variants, holm,
-                           lateness_grid, leave_one_out, number, odds_ratios, percentile_interval, robust_claims,
-                           study_summary, two_proportion_z, variant_table, vif, wilson_interval)
+from punctua.stats import (Model, Study, Variant, average_marginal_effect, batch_draws, cluster_bootstrap, cross_controls, draw_interval, effect_table, fit_logit,
+                           leave_out_fits, fit_variants, holm, lateness_grid, leave_one_out, number, odds_ratios, percentile_interval, robust_claims,
+                           shift_grid, study_summary, two_proportion_z, variant_table, vif, wilson_interval)
 from punctua.stats.bootstrap import LAST_SHIFT, MASK, MIX, mixed
 from punctua.streaming import hourly_arrivals, read_latest, start_upsert, write_batch
 
@@ -113,7 +113,7 @@ def _lateness(t: Tables) -> tuple[DataFrame, Study]:
         (F.col("l_linestatus") == "O").cast("int").alias("is_open"), (F.col("l_tax") > 0.06).cast("int").alias("taxed"),
         F.floor(F.col("l_quantity") / 10).alias("size"), days.alias("days"), flag(days >= 15).cast("int").alias("is_late"),
         F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM"), "l_returnflag").alias("batch"),
-        F.date_format("o_orderdate", "yyyy").alias("year"))
+        F.date_format("o_orderdate", "yyyy").alias("year"), "o_orderpriority", F.floor(F.col("l_discount") * 100).alias("discount"))
     study = Study("is_base", "place", ("A", "N", "R"), "R", F.col("is_late"),
                   {**number("is_open"), **number("taxed"), **number("size")}, "batch")
     return rows, study
@@ -138,6 +138,48 @@ def study_variants(t: Tables) -> DataFrame:
     return variant_table(rows, study, fit_variants(rows, study, variants))
 
 
+_GRID_SQL = """
+with late as (select l_returnflag as place, strftime(o_orderdate, '%Y-%m') || ' ' || l_returnflag as batch, date_diff('day', o_orderdate, l_shipdate) as days,
+    count(*) as n from lineitem join orders on l_orderkey = o_orderkey group by all),
+c as (select cut, shift, place, batch, sum(n) as n, coalesce(sum(n) filter (days >= cut - case when place = 'R' then shift else 0 end), 0) as h
+  from late, (values (5), (10), (15), (20)) as t(cut), range(-4, 5) as r(shift) group by all),
+w as (select cut, shift, sum(n)::double as rows, sum(h)::double as late, count(distinct batch)::double as g from c group by all),
+sides(comparison, k, place, x) as (values ('R vs rest', 2, 'R', 1), ('R vs rest', 2, 'A', -1), ('R vs rest', 2, 'N', -1),
+  ('A', 3, 'A', 1), ('A', 3, 'R', -1), ('N', 3, 'N', 1), ('N', 3, 'R', -1)),
+p as (select cut, shift, comparison, k, x, sum(n)::double as m, sum(h) / sum(n)::double as p from c join sides using (place) group by all),
+u as (select cut, shift, comparison, batch, sum(x * (h - n * p) / (m * p * (1 - p))) as ub, sum(x * (h - n * p) / m) as ue
+  from c join sides using (place) join p using (cut, shift, comparison, k, x) group by all),
+v as (select cut, shift, comparison, sum(ub * ub) as vb, sum(ue * ue) as ve from u group by all),
+e as (select cut, shift, comparison, k, sum(x * ln(p / (1 - p))) as b, sum(x * p) as effect from p group by all),
+s as (select *, (g / (g - 1)) * ((rows - 1) / (rows - k)) as size from e join v using (cut, shift, comparison) join w using (cut, shift))
+select 'late at ' || cut || ', shift ' || case when shift < 0 then '' else '+' end || shift as variant, comparison, rows, late, round(exp(b), 5) as odds_ratio,
+  round(exp(b - 1.959963984540054 * sqrt(vb * size)), 5) as ci_low, round(exp(b + 1.959963984540054 * sqrt(vb * size)), 5) as ci_high,
+  round(effect, 7) as effect, round(effect - 1.959963984540054 * sqrt(ve * size), 7) as effect_low, round(effect + 1.959963984540054 * sqrt(ve * size), 7) as effect_high
+from s"""
+
+
+@query("study_shift_grid", _GRID_SQL)
+def study_shift_grid(t: Tables) -> DataFrame:
+    """L8, L18, B33. Cut-offs 5, 10, 15, 20 by group shifts -4 to 4: 72 models in shared passes, all effects in one more. Without controls
+    odds ratios, effects and their clustered errors have a closed form."""
+    rows, study = _lateness(t)
+    table = effect_table(rows, study, shift_grid(study, "days", controls=()))
+    exact = {c: F.round(c, 5) for c in ("odds_ratio", "ci_low", "ci_high")} | {c: F.round(c, 7) for c in ("effect", "effect_low", "effect_high")}
+    return table.withColumns(exact).drop("p_value", "side")
+
+
+@query("study_operator_grid")
+def study_operator_grid(t: Tables) -> DataFrame:
+    """L8, L16, L19. Four samples by three versions of the model (an input as fitted, swapped for another, left out), with effects."""
+    rows, study = _lateness(t)
+    full = tuple(study.controls)
+    priority = F.col("o_orderpriority")
+    samples = [Variant("as fitted", full), Variant("no urgent orders", full, priority != "1-URGENT"),
+               Variant("untaxed", tuple(c for c in full if c != "taxed"), F.col("taxed") == 0), Variant("high priority", full, priority.isin("1-URGENT", "2-HIGH"))]
+    versions = {"size": ({}, ()), "discount": ({"size": "discount"}, ()), "neither": ({}, ("size",))}
+    return effect_table(rows, study, cross_controls(samples, versions), number("discount"))
+
+
 @query("study_robustness")
 def study_robustness(t: Tables) -> DataFrame:
     """L14, L15. Leave each batch out, and which claims survive every check."""

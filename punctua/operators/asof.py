@@ -13,14 +13,16 @@ A window over the key alone would put a busy key into one task. Here the work is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.config import DEFAULTS
 
-__all__ = ["asof_join", "carry_forward"]
+__all__ = ["Probe", "asof_join", "asof_probes", "carry_forward"]
 
 
 def _floor_div(value: Column, by: float) -> Column:
@@ -50,36 +52,20 @@ def _carry(cells: DataFrame, by: list[str], fan: int) -> DataFrame:
     return near.join(far, [*by, "_g"]).select(*by, "_b", F.coalesce("_near", "_far").alias("_carried"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              take: Sequence[str] = (), tolerance_seconds: float | None = None,
-              bucket_seconds: float = DEFAULTS.asof_bucket_seconds, fan: int = DEFAULTS.asof_fan) -> DataFrame:
-    """D2, D3. Every left row, with ``right_on`` and ``take`` of its latest right row at or before it.
+def _all_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
-    The look-back is unbounded unless ``tolerance_seconds`` (elapsed, inclusive) is given. Left rows
-    with a NULL key or time are kept, unmatched. The right side needs one row per (by, right_on);
-    ``latest_by`` gives that.
-    """
-    by, kept = list(by), [right_on, *take]
-    has_key = [F.col(c).isNotNull() for c in by]
-
-    def all_of(*conditions: Column) -> Column:
-        out = F.lit(True)
-        for c in conditions:
-            out = out & c
-        return out
 
+def _matches(points: DataFrame, right: DataFrame, by: list[str], right_on: str, take: Sequence[str], bucket_seconds: float,
+             fan: int) -> DataFrame:
+    """(by, _t, _match) for distinct points (by, _t): the struct of ``take`` of the latest right row at or before ``_t``."""
     readings = (
-        right.where(all_of(*has_key, F.col(right_on).isNotNull()))
-        .select(*by, F.col(right_on).alias("_t"), F.struct(*kept).alias("_r"))
-        .withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-    )
-    points = (
-        left.where(all_of(*has_key, F.col(left_on).isNotNull()))
-        .select(*by, F.col(left_on).alias("_t")).distinct()
+        right.where(_all_of([F.col(c).isNotNull() for c in [*by, right_on]]))
+        .select(*by, F.col(right_on).alias("_t"), F.struct(*take).alias("_r"))
         .withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
     )
     timeline = readings.withColumn("_is_left", F.lit(False)).unionByName(
-        points.withColumn("_is_left", F.lit(True)), allowMissingColumns=True)
+        points.withColumns({"_b": _bucket(F.col("_t"), bucket_seconds), "_is_left": F.lit(True)}), allowMissingColumns=True)
 
     # A right row at the very same time counts, so it sorts first. The placed points and the bucket
     # summaries come from one sorted pass, so both read the same shuffle.
@@ -90,16 +76,52 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         "_closes": F.lead(F.lit(False), 1, True).over(bucket)})
     placed = swept.where("_is_left").select(*by, "_b", "_t", "_here")
     cells = swept.where("_closes").select(*by, "_b", F.col("_here").alias("_r"))
-    matched = placed.join(_carry(cells, by, fan), [*by, "_b"]).select(
-        *by, F.col("_t").alias(left_on), F.coalesce("_here", "_carried").alias("_match"))
-    if tolerance_seconds is not None:
-        elapsed = (F.unix_micros(F.col(left_on).cast("timestamp"))
-                   - F.unix_micros(F.col(f"_match.{right_on}").cast("timestamp")))
-        matched = matched.withColumn(
-            "_match", F.when(elapsed <= F.lit(int(tolerance_seconds * 1_000_000)), F.col("_match")))
-
-    return left.join(matched, [*by, left_on], "left").select(
-        *[F.col(c) for c in left.columns], *[F.col(f"_match.{c}").alias(c) for c in kept])
+    return placed.join(_carry(cells, by, fan), [*by, "_b"]).select(*by, "_t", F.coalesce("_here", "_carried").alias("_match"))
+
+
+@dataclass(frozen=True)
+class Probe:
+    """One time column of the left side, and what its match adds: {new column: right column}."""
+
+    left_on: str
+    take: Mapping[str, str]
+    tolerance_seconds: float | None = None
+
+
+def asof_probes(left: DataFrame, right: DataFrame, by: Sequence[str], right_on: str, probes: Sequence[Probe],
+                bucket_seconds: float = DEFAULTS.asof_bucket_seconds, fan: int = DEFAULTS.asof_fan) -> DataFrame:
+    """D2, D3, L16. Several as-of joins with one right side: every left row, with the matches of each of its time columns.
+
+    All time columns become points of one timeline, so the right side is read, shuffled and sorted once however many probes there are; each
+    probe then costs one equi join. Rules for missing keys and times, the look-back, and the tolerance are those of ``asof_join``.
+    """
+    by = list(by)
+    at = F.filter(F.array(*[F.col(p.left_on) for p in probes]), lambda t: t.isNotNull())
+    points = (left.where(_all_of([F.col(c).isNotNull() for c in by]))
+              .select(*by, F.explode(F.array_distinct(at)).alias("_t")).distinct())
+    take = list(dict.fromkeys([right_on, *[c for p in probes for c in p.take.values()]]))
+    matched = _matches(points, right, by, right_on, take, bucket_seconds, fan)
+    out = left
+    for i, p in enumerate(probes):
+        match = F.col("_match")
+        if p.tolerance_seconds is not None:
+            elapsed = F.unix_micros(F.col("_t").cast("timestamp")) - F.unix_micros(F.col(f"_match.{right_on}").cast("timestamp"))
+            match = F.when(elapsed <= F.lit(int(p.tolerance_seconds * 1_000_000)), match)
+        out = out.join(matched.select(*by, F.col("_t").alias(p.left_on), match.alias(f"_match{i}")), [*by, p.left_on], "left")
+    return out.select(*[F.col(c) for c in left.columns],
+                      *[F.col(f"_match{i}.{c}").alias(name) for i, p in enumerate(probes) for name, c in p.take.items()])
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
+              take: Sequence[str] = (), tolerance_seconds: float | None = None,
+              bucket_seconds: float = DEFAULTS.asof_bucket_seconds, fan: int = DEFAULTS.asof_fan) -> DataFrame:
+    """D2, D3. Every left row, with ``right_on`` and ``take`` of its latest right row at or before it.
+
+    The look-back is unbounded unless ``tolerance_seconds`` (elapsed, inclusive) is given. Left rows
+    with a NULL key or time are kept, unmatched. The right side needs one row per (by, right_on);
+    ``latest_by`` gives that.
+    """
+    return asof_probes(left, right, by, right_on, [Probe(left_on, {c: c for c in (right_on, *take)}, tolerance_seconds)], bucket_seconds, fan)
 
 
 def carry_forward(df: DataFrame, by: Sequence[str], at: str, col: str, tie: str, name: str | None = None) -> DataFrame:

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from punctua.config import DEFAULTS, Settings
 from punctua.functions import carrier_code, clean_name, datediff_boundary, event_key, first_known, flag
-from punctua.operators import asof_join, collapse_with_count, gate_columns, identified, in_scope, latest_by
+from punctua.operators import Probe, asof_probes, collapse_with_count, gate_columns, identified, in_scope, latest_by
 
 __all__ = [
     "FACT_COLUMNS", "attribute", "build_fact", "delay_flags", "has_retimed_schedule", "has_suspect_times",
-    "event_rows", "physical_events", "series_readings", "with_reading", "with_reading_at_schedule",
+    "event_rows", "physical_events", "series_readings", "with_both_readings", "with_reading",
 ]
 
 DESIGNATORS = ("codeshare_flight_iata", "flight_iata", "flight_icao")
@@ -92,26 +92,31 @@ def series_readings(weather: DataFrame) -> DataFrame:
                      [F.desc_nulls_last("source_file")])
 
 
-def with_reading(events: DataFrame, readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """D2, B16, B24. Latest reading at or before arrival; values only while fresh, the lag always."""
-    matched = asof_join(
-        events, readings.withColumnRenamed("iata_code", "arrival_airport"), ["arrival_airport"],
-        "arrival_actual_utc", "observed_at", list(WEATHER_COLUMNS),
-        bucket_seconds=cfg.asof_bucket_seconds, fan=cfg.asof_fan,
-    ).withColumnRenamed("observed_at", "weather_observed_at")
+_FRESH = {"weather_observed_at": "observed_at", **{c: c for c in WEATHER_COLUMNS}}
+
+
+def _with_probes(events: DataFrame, readings: DataFrame, probes: list[Probe], cfg: Settings) -> DataFrame:
+    matched = asof_probes(events, readings.withColumnRenamed("iata_code", "arrival_airport"), ["arrival_airport"], "observed_at", probes,
+                          bucket_seconds=cfg.asof_bucket_seconds, fan=cfg.asof_fan)
     lag = datediff_boundary("minute", "weather_observed_at", "arrival_actual_utc")
     scored = matched.withColumn("weather_lag_minutes", lag).withColumn(
         "has_weather_match", flag(F.col("weather_lag_minutes") <= cfg.weather_max_lag_minutes))
     return gate_columns(scored, "has_weather_match", WEATHER_COLUMNS)
 
 
-def with_reading_at_schedule(events: DataFrame, readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """D3, L16. Wind at the scheduled arrival, within an elapsed tolerance: a reading no delay can move."""
-    wind = readings.select(F.col("iata_code").alias("arrival_airport"), F.col("observed_at").alias("_read_at"),
-                           F.col("wind_speed").alias("wind_at_schedule"))
-    return asof_join(events, wind, ["arrival_airport"], "arrival_scheduled_utc", "_read_at", ["wind_at_schedule"],
-                     tolerance_seconds=60 * cfg.weather_max_lag_minutes,
-                     bucket_seconds=cfg.asof_bucket_seconds, fan=cfg.asof_fan).drop("_read_at")
+def with_reading(events: DataFrame, readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """D2, B16, B24. Latest reading at or before arrival; values only while fresh, the lag always."""
+    return _with_probes(events, readings, [Probe("arrival_actual_utc", _FRESH)], cfg)
+
+
+def with_both_readings(events: DataFrame, readings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """D2, D3, L16. ``with_reading``, plus the wind at the scheduled arrival within an elapsed tolerance: a reading no delay can move.
+
+    Both times are probes of one timeline, so the readings are shuffled once.
+    """
+    return _with_probes(events, readings, [
+        Probe("arrival_actual_utc", _FRESH),
+        Probe("arrival_scheduled_utc", {"wind_at_schedule": "wind_speed"}, 60 * cfg.weather_max_lag_minutes)], cfg)
 
 
 def event_rows(staged: DataFrame, airports: DataFrame, cfg: Settings = DEFAULTS,
@@ -133,7 +138,6 @@ def build_fact(staged: DataFrame, weather: DataFrame, airports: DataFrame, cfg:
     """
     events = event_rows(staged, airports, cfg, tap)
     readings = series_readings(weather)
-    fact = with_reading(events, readings, cfg)
     if at_schedule:
-        return with_reading_at_schedule(fact, readings, cfg).select(*FACT_COLUMNS, "wind_at_schedule")
-    return fact.select(*FACT_COLUMNS)
+        return with_both_readings(events, readings, cfg).select(*FACT_COLUMNS, "wind_at_schedule")
+    return with_reading(events, readings, cfg).select(*FACT_COLUMNS)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.functions import (delay_minutes, epoch_utc, file_airport, rounded_int, safe_number, wall_time,
                                with_utc)
 
-__all__ = ["flatten_records", "stage_flights", "stage_weather"]
+__all__ = ["field_profile", "flatten_documents", "flatten_records", "stage_flights", "stage_weather"]
 
 # Leaves are text, so that a value of an unexpected JSON type is cast (or becomes NULL) in one place
 # instead of making the whole document unreadable.
@@ -40,10 +42,37 @@ def flatten_records(raw: DataFrame, record: str, path: str = "data", raw_col: st
     return listed.select(*kept, F.from_json("_record", record).alias(name))
 
 
+def flatten_documents(docs: DataFrame, path: str = "data", doc: str = "doc", name: str = "record") -> DataFrame:
+    """B1. One row per record of a ``VARIANT`` body, the record itself a variant, so that fields nobody has listed yet survive."""
+    kept = [c for c in docs.columns if c != doc]
+    return docs.select(*kept, F.explode(F.try_variant_get(doc, f"$.{path}", "array<variant>")).alias(name))
+
+
+def field_profile(records: DataFrame, record: str = "record", depth: int = 2) -> DataFrame:
+    """A6, B1. (field, type, records): the fields that records have, ``depth`` levels deep, and as what type; an upstream change shows here first.
+
+    Members of a record are exploded in place and counted with map-side combine, so a task sends one row per field and type.
+    """
+    tvf, level, parts = records.sparkSession.tvf, records.select(F.lit(None).cast("string").alias("_at"), F.col(record).alias("_v")), []
+    for _ in range(depth):
+        members = level.alias("l").lateralJoin(tvf.variant_explode(F.col("l._v").outer()).alias("m")).where(F.col("m.key").isNotNull())
+        level = members.select(F.concat_ws(".", "l._at", "m.key").alias("_at"), F.col("m.value").alias("_v"))
+        kind = F.regexp_extract(F.schema_of_variant("_v"), "^[A-Z]+", 0)
+        parts.append(level.select(F.col("_at").alias("field"), kind.alias("type")))
+    return reduce(DataFrame.unionByName, parts).groupBy("field", "type").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _typed_records(raw: DataFrame) -> DataFrame:
+    """Flight records from parsed bodies (``doc``) where there are any, else from text."""
+    if "doc" not in raw.columns:
+        return flatten_records(raw, FLIGHT_RECORD)
+    return flatten_documents(raw).select("source_file", F.try_variant_get("record", "$", FLIGHT_RECORD).alias("r"))
+
+
 def stage_flights(raw: DataFrame) -> DataFrame:
-    """B2, B4, B6, B7, B18-B20. One row per marketing label per file, 29 columns."""
+    """B2, B4, B6, B7, B18-B20. One row per marketing label per file, 29 columns; bodies are text (``raw_data``) or parsed (``doc``)."""
     r = F.col
-    typed = flatten_records(raw, FLIGHT_RECORD).select(
+    typed = _typed_records(raw).select(
         r("r.flight_date").try_cast("date").alias("flight_date"),
         r("r.flight_status").alias("flight_status"),
         r("r.airline.name").alias("airline_name"),
@@ -81,7 +110,8 @@ def stage_flights(raw: DataFrame) -> DataFrame:
 
 def stage_weather(raw: DataFrame) -> DataFrame:
     """B3, B5, B12. One row per reading per file, 16 columns. The place comes from the file's key."""
-    d = raw.select(F.from_json("raw_data", WEATHER_DOCUMENT).alias("d"), "source_file")
+    body = F.try_variant_get("doc", "$", f"STRUCT<{WEATHER_DOCUMENT}>") if "doc" in raw.columns else F.from_json("raw_data", WEATHER_DOCUMENT)
+    d = raw.select(body.alias("d"), "source_file")
 
     def num(path: str):
         return F.col(f"d.{path}").try_cast("double")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 __all__ = [
-    "classify_payload", "load_new_files", "load_report", "load_totals", "payload_class", "read_landing",
+    "classify_documents", "classify_payload", "parse_documents", "read_documents", "load_new_files", "load_report", "load_totals", "payload_class", "read_landing",
     "run_loads", "usage_budget",
 ]
 
@@ -36,13 +36,35 @@ def payload_class(raw: Column | str, array: str = "data") -> Column:
     A body with an ``error`` member, without the record list, or that is no JSON object is rejected.
     """
     body = F.col(raw) if isinstance(raw, str) else raw
-    parsed = F.try_parse_json(body)
+    return _class_of(F.try_parse_json(body), array)
+
+
+def _class_of(parsed: Column, array: str) -> Column:
     records = F.try_variant_get(parsed, f"$.{array}", "array<variant>")
     has_error = F.try_variant_get(parsed, "$.error", "variant").isNotNull()
     return (F.when(parsed.isNull() | has_error | records.isNull(), F.lit("rejected"))
             .when(F.size(records) == 0, F.lit("empty")).otherwise(F.lit("accepted")))
 
 
+def parse_documents(raw: DataFrame, raw_col: str = "raw_data", name: str = "doc") -> DataFrame:
+    """A1. Bodies as ``VARIANT``: parsed once, every field kept whatever its type; NULL for a body that is no JSON document."""
+    return raw.select(*[c for c in raw.columns if c != raw_col], F.try_parse_json(raw_col).alias(name))
+
+
+def read_documents(spark: SparkSession, path: str | list[str], pattern: str = "*.json") -> DataFrame:
+    """A1. One row per landed file: its key and its body as a ``VARIANT`` called ``doc``.
+
+    Write the result as a table to parse each body once and for all: staging, payload classes and the field profile read the variant. A file that
+    is no JSON document stays as a row with a NULL body, so it is counted and can be reported.
+    """
+    return parse_documents(read_landing(spark, path, pattern))
+
+
+def classify_documents(docs: DataFrame, doc: str = "doc", array: str = "data", name: str = "payload_class") -> DataFrame:
+    """A6. The payload class of bodies that are parsed already."""
+    return docs.withColumn(name, _class_of(F.col(doc), array))
+
+
 def classify_payload(df: DataFrame, raw: str = "raw_data", array: str = "data",
                      name: str = "payload_class") -> DataFrame:
     """A6. Add the payload class; filter on it to route rejected bodies to quarantine."""

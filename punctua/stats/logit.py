@@ -22,7 +22,7 @@ from punctua.stats.intervals import Z95
 
 __all__ = [
     "Fit", "FitFailed", "Model", "average_marginal_effect", "factor", "fit_logit", "fit_logits",
-    "number", "odds_ratios", "vif",
+    "marginal_effects", "number", "odds_ratios", "vif",
 ]
 
 INTERCEPT = "Intercept"
@@ -322,29 +322,52 @@ def odds_ratios(fit: Fit, terms: Sequence[str] | None = None) -> list[dict]:
     return out
 
 
-def average_marginal_effect(df: DataFrame, terms: dict[str, Column], fit: Fit, dummy: str,
-                            rows: Column | None = None) -> dict:
-    """L8. Mean change in probability when a 0/1 input goes from 0 to 1, with a delta-method interval."""
-    used = [t for t in fit.terms if t != INTERCEPT]
-    model = Model(fit.name, tuple(used), F.lit(0.0), rows)
-    cells, names = _prepare(df, {t: terms[t] for t in used}, [model], None)
-    k, beta, d = cells.k, np.asarray(fit.params)[None, :], names.index(dummy)
+def marginal_effects(df: DataFrame, terms: dict[str, Column], asked: Sequence[tuple[Fit, str, Sequence[str]]],
+                     rows: Sequence[Column | None] | None = None) -> list[dict]:
+    """L8. Average marginal effects of many models in one pass: (fit, 0/1 input, other inputs held at 0) each.
+
+    The effect is the mean change in probability when the input goes from 0 to 1 over the rows of the model, with a delta-method interval.
+    For a level of a factor the other levels are held at 0, so the comparison is with the base. Tasks add up one probability change
+    and one gradient per model; the driver gets models x terms sums.
+    """
+    rows = rows or [None] * len(asked)
+    models = [Model(f"{f.name} {dummy}", tuple(t for t in f.terms if t != INTERCEPT), F.lit(0.0), r) for (f, dummy, _), r in zip(asked, rows)]
+    used = {t: terms[t] for m in models for t in m.terms}
+    cells, names = _prepare(df, used, models, None)
+    k, j, nw, w_of = cells.k, len(models), cells.nw, cells.w_of
+    beta, switch, held = np.zeros((j, k)), np.zeros((j, k), bool), np.zeros((j, k), bool)
+    for m, (fit, dummy, others) in enumerate(asked):
+        beta[m, [names.index(t) for t in fit.terms]] = fit.params
+        switch[m, names.index(dummy)] = True
+        held[m, [names.index(t) for t in (dummy, *others)]] = True
+    # Off: the held inputs are 0, whatever the row says. On: the switched one is 1 on top of that.
+    rest, jump = np.where(held, 0.0, beta), beta[switch]
 
     def per_batch(batches):
         total = None
-        for x, _, w, _ in _chunks(batches, k, 1, 1):
-            on, off = x.copy(), x.copy()
-            on[:, d], off[:, d] = 1.0, 0.0
-            p1, p0 = _probability(on, beta), _probability(off, beta)
-            slope = (w * p1 * (1 - p1)).T @ on - (w * p0 * (1 - p0)).T @ off
-            piece = np.hstack([slope, (w * (p1 - p0)).sum(0)[:, None], w.sum(0)[:, None]])
+        for x, _, w, _ in _chunks(batches, k, 1, nw, models=j):
+            ww = w[:, w_of]
+            eta = x @ rest.T
+            p0 = 1.0 / (1.0 + np.exp(-np.clip(eta, -500, 500)))
+            p1 = 1.0 / (1.0 + np.exp(-np.clip(eta + jump, -500, 500)))
+            s1, s0 = ww * p1 * (1 - p1), ww * p0 * (1 - p0)
+            slope = np.where(held, 0.0, (s1 - s0).T @ x) + np.where(switch, s1.sum(0)[:, None], 0.0)
+            piece = np.hstack([slope, (ww * (p1 - p0)).sum(0)[:, None], ww.sum(0)[:, None]])
             total = piece if total is None else total + piece
         return total
 
-    sums = _sums(cells.df, per_batch, k + 2, 1)[0]
-    gradient, effect = sums[:k] / sums[-1], float(sums[k] / sums[-1])
-    se = math.sqrt(float(gradient @ fit.cov @ gradient))
-    return {"term": dummy, "effect": float(effect), "se": se, "ci_low": effect - Z95 * se, "ci_high": effect + Z95 * se}
+    out = []
+    for (fit, dummy, _), sums in zip(asked, _sums(cells.df, per_batch, k + 2, j)):
+        gradient, effect = sums[[names.index(t) for t in fit.terms]] / sums[-1], float(sums[k] / sums[-1])
+        se = math.sqrt(float(gradient @ fit.cov @ gradient))
+        out.append({"term": dummy, "effect": effect, "se": se, "ci_low": effect - Z95 * se, "ci_high": effect + Z95 * se})
+    return out
+
+
+def average_marginal_effect(df: DataFrame, terms: dict[str, Column], fit: Fit, dummy: str,
+                            rows: Column | None = None) -> dict:
+    """L8. The average marginal effect of one input of one model."""
+    return marginal_effects(df, terms, [(fit, dummy, ())], [rows])[0]
 
 
 def vif(df: DataFrame, terms: dict[str, Column]) -> dict[str, float]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +12,11 @@ from punctua import config
 from punctua.stats.bootstrap import cluster_bootstrap, draw_interval
 from punctua.stats.intervals import holm, interval_side
 from punctua.stats.left_out import leave_out_fits
-from punctua.stats.logit import Fit, Model, factor, fit_logits, number, odds_ratios
+from punctua.stats.logit import Fit, Model, factor, fit_logits, marginal_effects, number, odds_ratios
 
 __all__ = [
-    "Study", "Variant", "delay_checks", "delay_operator_grid", "delay_study", "fit_variants", "leave_one_out", "lateness_grid", "pairwise_verdict",
-    "primary_holds", "robust_claims", "study_summary", "variant_table",
+    "Study", "Variant", "cross_controls", "delay_checks", "delay_operator_grid", "delay_study", "effect_table", "fit_variants", "leave_one_out",
+    "lateness_grid", "model_versions", "pairwise_verdict", "primary_holds", "robust_claims", "shift_grid", "study_summary", "variant_table",
 ]
 
 
@@ -157,6 +157,46 @@ def lateness_grid(study: Study, delay: str, cuts: Mapping[str, tuple[int, int]])
         for name, (cut, own) in cuts.items()]
 
 
+def shift_grid(study: Study, delay: str, shifts: Sequence[int] = tuple(range(-4, 5)), cuts: Sequence[int] = (5, 10, 15, 20),
+               controls: Sequence[str] | None = None, label: str = "") -> list[Variant]:
+    """L18. Every cut-off with every shift of the group: the group is late at ``cut - shift`` or more, the others at ``cut``."""
+    grid = lateness_grid(study, delay, {f"late at {c}, shift {k:+d}{label}": (c, c - k) for c in cuts for k in shifts})
+    return grid if controls is None else [replace(v, controls=tuple(controls)) for v in grid]
+
+
+def cross_controls(samples: Sequence[Variant], versions: Mapping[str, tuple[Mapping[str, str], Sequence[str]]]) -> list[Variant]:
+    """L19. Every sample with every version of the model: version name -> (inputs to swap, inputs to leave out)."""
+    return [replace(v, name=f"{v.name} / {name}", controls=tuple(swap.get(c, c) for c in v.controls if c not in drop))
+            for v in samples for name, (swap, drop) in versions.items()]
+
+
+def model_versions(wind: str = "weather_wind_speed", retimed: str = "wind_at_schedule") -> dict[str, tuple[dict, tuple]]:
+    """L16, L19. The three versions of the study's models: wind at landing, wind at the scheduled arrival, no wind."""
+    return {"wind at landing": ({}, ()), "wind at schedule": ({wind: retimed}, ()), "no wind": ({}, (wind,))}
+
+
+def effect_table(df: DataFrame, study: Study, variants: Sequence[Variant], extra: Mapping[str, Column] = {}, strict: bool = True) -> DataFrame:
+    """L7, L8, L18-L20. ``variant_table`` with the average marginal effect of every comparison.
+
+    One set of passes fits all models of the grid and one more adds up all effects. A model that does not fit has NULL results.
+    """
+    fits = fit_variants(df, study, variants, extra, strict)
+    rows_of = {f"{v.name}|{kind}": v.rows for v in variants for kind in ("primary", "secondary")}
+    asked, labels, rows = [], [], []
+    for f in fits:
+        variant, kind = f.name.split("|")
+        wanted = {study.group: f"{study.base} vs rest"} if kind == "primary" else study.pairs
+        for term, comparison in wanted.items() if f.converged else ():
+            asked.append((f, term, [t for t in wanted if t != term]))
+            labels.append((variant, comparison))
+            rows.append(rows_of[f.name])
+    found = marginal_effects(df, study.terms(extra), asked, rows) if asked else []
+    effects = df.sparkSession.createDataFrame(
+        [(*label, e["effect"], e["ci_low"], e["ci_high"]) for label, e in zip(labels, found)],
+        "variant STRING, comparison STRING, effect DOUBLE, effect_low DOUBLE, effect_high DOUBLE")
+    return variant_table(df, study, fits).join(F.broadcast(effects), ["variant", "comparison"], "left")
+
+
 def primary_holds() -> Column:
     """L12. The group is later: odds ratio and both lower bounds above 1."""
     return F.coalesce((F.col("odds_ratio") > 1) & (F.col("ci_low") > 1) & (F.col("boot_low") > 1), F.lit(False))

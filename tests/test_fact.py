@@ -202,3 +202,22 @@ def test_export_fallback_only_for_a_missing_table(spark, tmp_path):
     assert df.first().observed_at == datetime(2026, 9, 16, 10)
     with pytest.raises(Exception, match="COLUMN"):
         sources.read_table_or_export(spark, lambda: spark.range(1).select("nope"), str(tmp_path / "x.csv"), schema)
+
+
+def test_parsed_bodies_stage_like_text(spark, tmp_path):
+    write(tmp_path, "raw/flights/2026-09-16/SFO_1.json", {"data": [
+        flight(), flight(iata=None, delays=(7, "x")), 3, None, {"flight": 5, "airline": [1], "new": {"deep": 1}}]})
+    write(tmp_path, "raw/flights/2026-09-16/SFO_2.json", '{"data": [')
+    write(tmp_path, "raw/flights/2026-09-16/SFO_3.json", {"data": []})
+    write(tmp_path, "raw/flights/2026-09-16/SFO_4.json", "")
+    docs, raw = sources.read_documents(spark, str(tmp_path)), sources.read_landing(spark, str(tmp_path))
+    assert sorted(map(str, plans.stage_flights(docs).collect())) == sorted(map(str, plans.stage_flights(raw).collect()))
+    classes = lambda df: sorted((r.source_file, r.payload_class) for r in df.select("source_file", "payload_class").collect())
+    assert classes(sources.classify_documents(docs)) == classes(sources.classify_payload(raw))
+    docs.write.parquet(str(tmp_path / "table"))
+    fields = {(r.field, r.type): r.records for r in plans.field_profile(plans.flatten_documents(spark.read.parquet(str(tmp_path / "table")))).collect()}
+    assert fields[("new.deep", "BIGINT")] == 1 and fields[("airline", "OBJECT")] == 2 and fields[("airline", "ARRAY")] == 1
+    assert fields[("flight.iata", "VOID")] == 1 and ("flight.iata", "BIGINT") not in fields
+    weather = documents(spark, [("raw/weather/2026-09-16/SFO_1.json", reading(1789500000)), ("raw/weather/2026-09-16/LAX_1.json", reading(1789500000, temp="x", weather=5)),
+                                ("raw/weather/x.json", "x")])
+    assert plans.stage_weather(sources.parse_documents(weather)).collect() == plans.stage_weather(weather).collect()

@@ -46,6 +46,32 @@ def test_asof_equals_the_naive_answer(spark, arrivals, seen, sizes):
     assert run_asof(spark, left, right, bucket_seconds=sizes[0], fan=sizes[1]) == naive_asof(left, right)
 
 
+def test_probes_equal_one_join_each(spark):
+    right = [(k, T0 + timedelta(minutes=m), i) for i, (k, m) in enumerate([("a", 0), ("a", 45), ("a", 9000), ("b", 30)])]
+    left = [(1, "a", T0, T0 + timedelta(minutes=50)), (2, "a", T0 - timedelta(seconds=1), None), (3, "b", T0 + timedelta(days=9), T0 + timedelta(minutes=31)),
+            (4, None, T0, T0), (5, "a", None, T0 + timedelta(days=30)), (6, "a", T0 + timedelta(minutes=50), T0), (6, "a", T0 + timedelta(minutes=50), T0), (7, "c", T0, T0)]
+    a = spark.createDataFrame(left, "i INT, k STRING, t TIMESTAMP_NTZ, u TIMESTAMP_NTZ")
+    b = spark.createDataFrame(right, "k STRING, seen TIMESTAMP_NTZ, v INT")
+    both = O.asof_probes(a, b, ["k"], "seen", [O.Probe("t", {"t_seen": "seen", "t_v": "v"}), O.Probe("u", {"u_v": "v"}, 300)])
+    got = both.collect()
+    assert both.columns == ["i", "k", "t", "u", "t_seen", "t_v", "u_v"]
+    assert sorted((r.i, r.t_seen, r.t_v) for r in got) == naive_asof([(i, k, t) for i, k, t, _ in left], right)
+    assert sorted((r.i, r.u_v or -1) for r in got) == sorted(
+        (i, v or -1) for i, _, v in naive_asof([(i, k, u) for i, k, _, u in left], right, 300))
+    assert O.asof_probes(a.limit(0), b, ["k"], "seen", [O.Probe("t", {"v": "v"}), O.Probe("u", {"w": "v"})]).count() == 0
+
+
+def test_probes_read_the_right_side_once(spark, tmp_path):
+    spark.range(2000).selectExpr("id % 5 as k", "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, cast(id as int)) as seen", "id as v").write.parquet(f"{tmp_path}/r")
+    spark.range(900).selectExpr("id % 5 as k", "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, cast(2 * id as int)) as t",
+                                "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, cast(id as int)) as u").write.parquet(f"{tmp_path}/l")
+    right, left = spark.read.parquet(f"{tmp_path}/r"), spark.read.parquet(f"{tmp_path}/l")
+    df = O.asof_probes(left, right, ["k"], "seen", [O.Probe("t", {"v": "v"}), O.Probe("u", {"w": "v"})])
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count(f"{tmp_path}/r") == 1
+
+
 def test_asof_keeps_rows_that_share_a_time(spark):
     left = [(i, "hot", T0 + timedelta(hours=1)) for i in range(500)]
     got = run_asof(spark, left, [("hot", T0, 7)])

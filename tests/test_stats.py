@@ -70,6 +70,43 @@ def test_marginal_effect_matches_finite_differences(sample):
     assert (got["effect"], got["se"]) == pytest.approx((at(fit.params), math.sqrt(grad @ fit.cov @ grad)), rel=1e-5)
 
 
+def test_effects_of_many_models_in_one_pass_match_finite_differences(sample):
+    pdf, df = sample
+    levels = S.factor("place", ["ATL", "EWR", "SFO"], "SFO")
+    inputs = {**S.number("sfo"), **levels, **S.number("night"), **S.number("wind")}
+    calm = F.col("wind") < 10
+    models = [S.Model("one", ("sfo", "night"), F.col("y"), None, "batch"), S.Model("two", (*levels, "wind"), F.col("y"), calm, "batch")]
+    one, two = S.fit_logits(df, inputs, models)
+    asked = [(one, "sfo", ()), (two, "place[ATL]", ["place[EWR]"]), (two, "place[EWR]", ["place[ATL]"])]
+    got = S.marginal_effects(df, inputs, asked, [None, calm, calm])
+    base = pdf.assign(ATL=(pdf.place == "ATL").astype(int), EWR=(pdf.place == "EWR").astype(int))
+    windless = base[base.wind < 10]
+    cases = [(one, design(base.assign(sfo=1), "sfo", "night"), design(base.assign(sfo=0), "sfo", "night")),
+             (two, design(windless.assign(ATL=1, EWR=0), "ATL", "EWR", "wind"), design(windless.assign(ATL=0, EWR=0), "ATL", "EWR", "wind")),
+             (two, design(windless.assign(ATL=0, EWR=1), "ATL", "EWR", "wind"), design(windless.assign(ATL=0, EWR=0), "ATL", "EWR", "wind"))]
+    for (fit, on, off), found in zip(cases, got):
+        at = lambda b: (1 / (1 + np.exp(-on @ b)) - 1 / (1 + np.exp(-off @ b))).mean()  # noqa: B023, E731
+        grad = np.array([(at(fit.params + e) - at(fit.params - e)) / 2e-6 for e in 1e-6 * np.eye(len(fit.params))])
+        assert (found["effect"], found["se"]) == pytest.approx((at(fit.params), math.sqrt(grad @ fit.cov @ grad)), rel=1e-5)
+
+
+def test_grids_cross_samples_versions_cuts_and_shifts(sample):
+    pdf, df = sample
+    study = S.Study("sfo", "place", ("ATL", "EWR", "SFO"), "SFO", F.col("y"), {**S.number("night"), **S.number("wind")}, "batch")
+    samples = [Variant("all", ("night", "wind")), Variant("calm", ("night", "wind"), F.col("wind") < 10)]
+    crossed = S.cross_controls(samples, {"as is": ({}, ()), "swapped": ({"wind": "pull"}, ()), "none": ({}, ("wind",))})
+    assert [(v.name, v.controls) for v in crossed][:3] == [
+        ("all / as is", ("night", "wind")), ("all / swapped", ("night", "pull")), ("all / none", ("night",))]
+    table = {(r.variant, r.comparison): r for r in S.effect_table(df, study, crossed, S.number("pull")).collect()}
+    assert len(table) == 18 and all(r.effect_low < r.effect < r.effect_high for r in table.values())
+    b, _ = numpy_fit(design(pdf, "sfo", "night", "pull"), pdf.y.to_numpy())
+    assert table[("all / swapped", "SFO vs rest")].odds_ratio == pytest.approx(math.exp(b[1]), rel=1e-7)
+    cells = S.shift_grid(study, "wind", shifts=(-1, 0, 2), cuts=(5, 9))
+    assert [v.name for v in cells] == [f"late at {c}, shift {k:+d}" for c in (5, 9) for k in (-1, 0, 2)]
+    late = df.select(F.sum(cells[2].outcome)).first()[0]
+    assert late == int(np.where(pdf.sfo == 1, pdf.wind >= 3, pdf.wind >= 5).sum())
+
+
 def test_vif_is_the_inverse_correlation(sample):
     pdf, df = sample
     want = np.diag(np.linalg.inv(np.corrcoef(design(pdf, "sfo", "night", "wind")[:, 1:].T)))

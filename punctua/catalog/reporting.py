@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,11 +14,12 @@ from punctua.functions import rate_of
 from punctua.operators import (busiest, correlation, crosstab, daily_average, data_summary, dense_histogram,
                                group_sizes, join_ranked, last_days, missing_counts, one_row, pivot_stat, quantiles,
                                rate_by, slice_counts, tail_counts, threshold_flags, top_k, with_and_without)
-from punctua.plans import (age_per_member, all_checks, average_delays, carry_result, condition_by_airport,
+from punctua.plans import (ScanCheck, age_per_member, all_checks, average_delays, carry_result, condition_by_airport,
                            freshness_problems, label_histogram, late_rate, leaderboard, newest_age, overview,
-                           pipeline_counts, prepare, run_checks, scope_share, staleness_histogram, throttle_alerts,
+                           pipeline_counts, prepare, publish_checked, run_checks, scope_share, staleness_histogram, throttle_alerts,
                            weather_coverage)
-from punctua.sources import fingerprint, load_new_files, load_report, load_totals, usage_budget
+from punctua.session import shared_dir
+from punctua.sources import CommitLog, fingerprint, load_new_files, load_report, load_totals, usage_budget
 
 # ---- reports over the fact ----------------------------------------------------
 
@@ -351,7 +354,7 @@ def relative_window(t: Tables) -> DataFrame:
 
 # ---- quality, freshness, loading -----------------------------------------------
 
-def _checks_sql() -> str:
+def _checks_sql(only: set[str] | None = None) -> str:
     """All 48 checks over the same tables, one SELECT each."""
     scoped = ("(select * from stg_flights where arrival_airport in (select iata_code from dim_airports)) s")
     rows: list[tuple[str, str, str]] = []
@@ -423,7 +426,7 @@ def _checks_sql() -> str:
     rows.append(("actual_is_runway_time", "warn", "select count_if(l_quantity = 13) from label_rows"))
     return " union all ".join(
         f"select '{n}' as \"check\", '{s}' as severity, ({q})::bigint as violations, ({q}) = 0 as passed"
-        for n, s, q in rows)
+        for n, s, q in rows if n in (only or {r[0] for r in rows}))
 
 
 @query("quality_suite", fact_sql(_checks_sql()))
@@ -435,6 +438,26 @@ def quality_suite(t: Tables) -> DataFrame:
     return run_checks(tables, all_checks())
 
 
+_CHECKED = {"stg_flights": derived.flights_table, "stg_weather": derived.weather_table, "fact": derived.fact_table}
+
+
+def _scans(table: str) -> set[str]:
+    return {c.name for c in all_checks() if isinstance(c, ScanCheck) and c.table == table}
+
+
+@query("checked_publish", fact_sql("select *, bool_and(passed or severity = 'warn') over (partition by \"table\") as published from ("
+       + " union all ".join(f"select '{name}' as \"table\", * from ({_checks_sql(_scans(name))})" for name in _CHECKED) + ")"))
+def checked_publish(t: Tables) -> DataFrame:
+    """H22, C9, A9. Each table written once with its scan checks observed by the write; one that fails a check of severity ``error`` is not published."""
+    log, parts = CommitLog(t.spark, shared_dir(t.spark, "checked")), []
+    for name, table in _CHECKED.items():
+        outcomes, published = publish_checked(log, table(t), name, all_checks())
+        if (log.snapshot().read(name) is not None) != published:
+            raise AssertionError(f"{name}: readers see what the gate did not decide")
+        parts.append(outcomes.withColumns({"table": F.lit(name), "published": F.lit(published)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _AS_OF = "2001-11-02 12:00:30"
 
 
@@ -529,13 +552,13 @@ def carried_results(t: Tables) -> DataFrame:
 
 
 @query("fact_fingerprint", fact_sql("""
-select count(*) as row_count, count(flight_event_key) as key_count, sum(arrival_delay_minutes)::bigint as delay_total,
-  count_if(has_weather_match) as weather_rows from fact"""))
+, keyed as (select *, ('0x' || left(md5(flight_event_key), 15))::bigint as h from fact)
+select count(*) as row_count, count(flight_event_key) as key_count, bit_xor(h) as key_xor, sum(h::hugeint)::varchar as key_sum,
+  sum(arrival_delay_minutes)::bigint as delay_total, count_if(has_weather_match) as weather_rows from keyed"""))
 def fact_fingerprint(t: Tables) -> DataFrame:
-    """A11. Totals of the order-independent fingerprint (the key hash has no SQL counterpart)."""
+    """A11. The order-independent fingerprint of the fact: counts, both hashes of all keys, totals."""
     return fingerprint(derived.fact_table(t), "flight_event_key", {
-        "delay_total": F.sum("arrival_delay_minutes"), "weather_rows": F.count_if("has_weather_match"),
-    }).select("row_count", "key_count", "delay_total", "weather_rows")
+        "delay_total": F.sum("arrival_delay_minutes"), "weather_rows": F.count_if("has_weather_match")})
 
 
 @query("load_new_files", """

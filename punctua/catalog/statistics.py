@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.catalog.core import _LATEST_SQL, LINE_ORDER
-from punctua.catalog.registry import Tables, query
+from punctua.catalog.registry import SQL, Tables, query
 from punctua.functions import datediff_boundary, flag
-from punctua.operators import rate_by
+from punctua.operators import assert_sample, rate_by
 from punctua.session import shared_dir
 from punctua.stats import (Model, Study, Variant, average_marginal_effect, batch_draws, cluster_bootstrap, cross_controls, draw_interval, effect_table, fit_logit,
-                           leave_out_fits, fit_variants, holm, lateness_grid, leave_one_out, number, odds_ratios, percentile_interval, robust_claims,
+                           leave_out_fits, fit_variants, holm, lateness_grid, leave_one_out, number, odds_ratios, percentile_interval, power, robust_claims,
                            shift_grid, study_summary, two_proportion_z, variant_table, vif, wilson_interval)
 from punctua.stats.bootstrap import LAST_SHIFT, MASK, MIX, mixed
-from punctua.streaming import hourly_arrivals, read_latest, start_upsert, write_batch
+from punctua.streaming import hourly_arrivals, read_hours, read_latest, start_hours, start_upsert, write_batch
 
 _RATES_SQL = """
 with counts as (select l_shipmode as g, n, k from (
@@ -291,3 +291,54 @@ def stream_hourly(t: Tables) -> DataFrame:
      .option("path", f"{root}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination())
     return t.spark.read.parquet(f"{root}/out").where("real").select(
         F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "rows", F.col("newest").cast("timestamp_ntz").alias("newest"))
+
+
+_PORTION = "event_id % 3"
+
+
+@query("stream_hours_late", f"""
+with p as (select *, {_PORTION} as portion from events),
+b as (select portion, max(ts) as newest from p group by 1)
+select date_trunc('hour', ts) as hour, event_type, count(*) as rows, max(ts) as newest,
+  count_if(coalesce(ts < (select max(newest) from b where b.portion < p.portion) - interval 7 day, false)) as late from p group by 1, 2""")
+def stream_hours_late(t: Tables) -> DataFrame:
+    """K4. Hourly counts when two thirds of the events land after later ones: none is left out, and the late ones are counted."""
+    root = shared_dir(t.spark, "hours")
+    events = t.events.select("ts", "event_type", F.expr(_PORTION).alias("portion"))
+    for i in range(3):
+        write_batch(events.where(F.col("portion") == i).drop("portion"), i, f"{root}/landing")
+        stream = t.spark.readStream.schema(events.drop("portion").schema).parquet(f"{root}/landing/*")
+        start_hours(stream, f"{root}/table", f"{root}/checkpoint", "ts", ["event_type"], F.make_dt_interval(days=F.lit(7))).awaitTermination()
+    return read_hours(t.spark, f"{root}/table", ["event_type"]).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("hour", "newest")})
+
+
+_ESTIMATE_SQL = SQL["logit_binary"].replace("\nselect 'quality' as term", ",\no as (select 'quality' as term") + ")"
+
+
+@query("power", _ESTIMATE_SQL + """,
+f as (select n_ratio, 1.96 - ln(odds_ratio) / ((ln(ci_high) - ln(ci_low)) / (2 * 1.96) * sqrt(n_ratio)) as x from o, (values (0.25), (0.5), (1.0), (2.0), (4.0)) as r(n_ratio)),
+series as (select n_ratio, x, sum((case when n % 2 = 0 then 1 else -1 end) * exp((2 * n + 1) * ln(abs(x)) - lgamma(n + 1) - n * ln(2)) / (2 * n + 1)) as t from f, range(90) as r(n) group by all)
+select n_ratio::double as n_ratio, round(0.5 - sign(x) * t / sqrt(2 * pi()), 5) as power from series""")
+def power_query(t: Tables) -> DataFrame:
+    """L17. The chance that a repeat of the comparison with more or fewer clusters clears 1, if the estimate is true."""
+    r = odds_ratios(fit_logit(_labelled(t), number("quality"), "toxic", "source"))[0]
+    odds, low, high = (round(r[c], 6) for c in ("odds_ratio", "ci_low", "ci_high"))
+    return t.spark.createDataFrame([(n, round(power(odds, low, high, n), 5)) for n in (0.25, 0.5, 1.0, 2.0, 4.0)], "n_ratio DOUBLE, power DOUBLE")
+
+
+@query("sample_asserted", f"""{_LATE_SQL},
+s as (select count(*) as rows, count_if(hit) as late, count(distinct batch) as batches from late)
+select 'as expected' as case_name, rows, late, batches, false as stopped from s union all select 'one row more', rows + 1, late, batches, true from s""")
+def sample_asserted(t: Tables) -> DataFrame:
+    """C9. The sample goes on if rows, late rows and batches are those counted beforehand, and is stopped if one row is missing."""
+    sample = _lateness(t)[0]
+    measures = {"rows": F.count(F.lit(1)), "late": F.sum("is_late"), "batches": F.count_distinct("batch")}
+    expected = sample.agg(*[c.alias(n) for n, c in measures.items()]).first().asDict()
+    cases = []
+    for name, wanted in (("as expected", expected), ("one row more", expected | {"rows": expected["rows"] + 1})):
+        try:
+            assert_sample(sample, wanted, measures)
+            cases.append((name, *wanted.values(), False))
+        except AssertionError:
+            cases.append((name, *wanted.values(), True))
+    return t.spark.createDataFrame(cases, "case_name STRING, rows BIGINT, late BIGINT, batches BIGINT, stopped BOOLEAN")

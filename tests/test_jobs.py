@@ -1,6 +1,7 @@
 """Streams, alerts, budgets: jobs that run over time."""
 
 from datetime import datetime, timedelta
+from hashlib import md5
 
 from landing_files import airports, documents, flight, reading, write
 from pyspark.sql import functions as F
@@ -122,3 +123,44 @@ def test_carried_results(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark, "x").startswith(f"{root.rstrip('/')}/x-" if root else "/")
+
+
+def test_late_rows_repair_their_hour_and_a_replayed_batch_changes_nothing(spark, tmp_path):
+    at = lambda h, m=0: datetime(2026, 9, 1, h, m)
+    drops = [[(at(10), "a"), (at(12), "a"), (None, "a")], [(at(10, 30), "a"), (at(11), "b"), (at(13), None)], [(at(12, 59), "b"), (at(10), "a")]]
+    table, checkpoint = str(tmp_path / "hours"), str(tmp_path / "checkpoint")
+    for i, rows in enumerate(drops):
+        streaming.write_batch(spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, k STRING"), i, str(tmp_path / "landing"))
+        stream = spark.readStream.schema("ts TIMESTAMP_NTZ, k STRING").parquet(f"{tmp_path}/landing/*")
+        streaming.start_hours(stream, table, checkpoint, "ts", ["k"], F.expr("INTERVAL 1 HOUR")).awaitTermination()
+    read = lambda: sorted(((r.hour.hour, r.k or "", r.rows, r.newest.hour * 60 + r.newest.minute, r.late)
+                           for r in streaming.read_hours(spark, table, ["k"]).collect()))
+    want = [(10, "a", 3, 630, 2), (11, "b", 1, 660, 0), (12, "a", 1, 720, 0), (12, "b", 1, 779, 0), (13, "", 1, 780, 0)]
+    assert read() == want
+    last = max((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # as if the job had died between the write and the commit
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    stream = spark.readStream.schema("ts TIMESTAMP_NTZ, k STRING").parquet(f"{tmp_path}/landing/*")
+    streaming.start_hours(stream, table, checkpoint, "ts", ["k"], F.expr("INTERVAL 1 HOUR")).awaitTermination()
+    assert read() == want
+
+
+def test_a_table_is_published_only_if_the_checks_seen_by_the_write_pass(spark, tmp_path):
+    log = sources.CommitLog(spark, str(tmp_path / "log"))
+    checks = [plans.ScanCheck("no_gap", "t", lambda: F.count_if(F.col("v").isNull())),
+              plans.ScanCheck("small", "t", lambda: F.count_if(F.col("v") > 5), "warn"), plans.ScanCheck("other", "u", lambda: F.count_if(F.lit(True)))]
+    good, bad = spark.createDataFrame([(1,), (9,)], "v INT"), spark.createDataFrame([(1,), (None,)], "v INT")
+    for df, outcome, published in ((good, [("no_gap", 0, True), ("small", 1, False)], True), (bad, [("no_gap", 1, False), ("small", 0, True)], False),
+                                   (good.limit(0), [("no_gap", 0, True), ("small", 0, True)], True)):
+        rows, done = plans.publish_checked(log, df, "t", checks)
+        assert sorted((r.check, r.violations, r.passed) for r in rows.collect()) == outcome and done is published
+        if df is bad:
+            assert sorted(r.v for r in log.snapshot().read("t").collect()) == [1, 9]
+    assert log.snapshot().read("t").count() == 0
+
+
+def test_fingerprint_can_be_computed_elsewhere(spark):
+    keys = ["a", "b", "b", None]
+    hashes = [int(md5(k.encode()).hexdigest()[:15], 16) for k in keys if k]
+    got = sources.fingerprint(spark.createDataFrame([(k,) for k in keys], "k STRING").repartition(3), "k", {}).first()
+    assert (got.row_count, got.key_count, got.key_xor, got.key_sum) == (4, 3, hashes[0], str(sum(hashes)))

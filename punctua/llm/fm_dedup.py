@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctua.llm.batches import pieces, split_words, word_hashes
-from punctua.llm.repeats import NO_ID, covered, earlier_windows, with_windows
+from punctua.llm.repeats import NO_ID, covered, earlier_windows, with_body, with_windows
 
 LENGTH, GRAM = 20, 5
 
@@ -118,10 +118,10 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int =
     never cross documents. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Result: ``doc_id, n_words, n_removed, kept`` with ``kept`` the remaining words joined by one space.
 
     Contexts are dealt to shards by content; each shard builds its index and streams its documents' contexts through it (:class:`FMIndex`).
-    A text without words, or null, keeps an empty text. Rows that repeat an id and text count as one document and get equal results; differing texts under one id
-    are compared with others but not with each other, and places found in one apply to all. A null id comes before all others. An empty table gives no rows.
+    A text without words, or null, keeps an empty text. Rows that repeat an id and text count as one document and get equal results; differing texts under one id are
+    documents of their own, compared with others but not with each other. A null id comes before all others. An empty table gives no rows.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text")
+    rows = with_body(docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text"))
     return _remove(with_windows(rows, earlier_windows(rows, word_symbols, fm_windows, np.uint64, length, gram)), length)
 
 
@@ -155,9 +155,9 @@ def strip_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     Texts without a repeated passage stay as they are, in the others the remaining words are joined by one space. ``n_chars``, if there is one, follows the text.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text",
-                       F.struct(F.lit(True).alias("present"), *[docs[c] for c in others]).alias("others"))
-    windows = earlier_windows(rows.select("doc_id", "text"), word_symbols, fm_windows, np.uint64, length, gram)
+    rows = with_body(docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text",
+                                 F.struct(F.lit(True).alias("present"), *[docs[c] for c in others]).alias("others")))
+    windows = earlier_windows(rows.select("doc_id", "body", "text"), word_symbols, fm_windows, np.uint64, length, gram)
     left = _remove(with_windows(rows, windows), length, True, "others").where("n_removed = 0 or n_removed < n_words")
     changed = F.col("n_removed") > 0
     columns = {c: F.col("others")[c] for c in others} | {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept")}

@@ -2,7 +2,8 @@
 
 A window of ``k`` symbols is routed by its anchor: the leftmost smallest hash among its ``q``-grams. Equal windows have equal anchors at the same
 place, wherever they occur, so only occurrences of one anchor hash have to be compared. Consecutive windows share an anchor, so an
-anchor and its run of windows (about ``(k - q) / 2`` of them) travel as one row of four numbers.
+anchor and its run of windows (about ``(k - q) / 2`` of them) travel as one row of five numbers. One of them, ``body``, is the hash of the text:
+a document is an id and a text, so what is found in one text of an id is not cut from another, and texts of one id are not compared.
 
 1. :func:`_route`: anchors of every document. Per anchor hash, runs whose whole text is equal are copies of their first occurrence.
 2. Anchors with several different runs are *open*: their contexts (the text of the run) are cut out and brought together.
@@ -111,35 +112,43 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()], names=list(columns))
 
 
-def _copies(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by key and place, and which rows in that order repeat the first of their key at another place. Repeats of the first place itself are left out."""
-    order = np.lexsort((at, doc, *keys[::-1]))
+def _copies(keys: tuple[np.ndarray, ...], doc: np.ndarray, body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key and place, and which rows in that order have their key at an earlier place. Repeats of one place are left out."""
+    order = np.lexsort((at, body, doc, *keys[::-1]))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for key in keys:
         new[1:] |= key[order][1:] != key[order][:-1]
-    copy, _ = _elsewhere(new, doc[order], at[order], (0, 0))
-    return order[new | copy], copy[new | copy]
+    copy, first, _ = _elsewhere(new, doc[order], body[order], at[order], (0, 0, 0))
+    return order[first | copy], copy[first | copy]
 
 
-def _elsewhere(new: np.ndarray, doc: np.ndarray, at: np.ndarray, before: tuple[int, int]) -> tuple[np.ndarray, tuple[int, int]]:
-    """Which rows are at another place than the first row of their group, and the first place of the last group; ``before`` is that of the group the rows go on with."""
+def _elsewhere(new: np.ndarray, doc: np.ndarray, body: np.ndarray, at: np.ndarray, before: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int]]:
+    """For rows in order of place: which have their group in an earlier place, which are the first of their group, or of it within another text of the first
+    one's id; and ``(id, text, first place)`` to go on with. ``before`` is what the rows go on from."""
+    if not len(new):
+        return new, new, before
     group = np.cumsum(new)
-    first_doc, first_at = (np.concatenate([[b], v[new]])[group] for b, v in zip(before, (doc, at)))
-    return (doc != first_doc) | (at != first_at), (first_doc[-1], first_at[-1]) if len(doc) else before
+    first_doc = np.concatenate([[before[0]], doc[new]])[group]
+    fresh = new.copy()
+    fresh[1:] |= body[1:] != body[:-1]
+    fresh[0] |= body[0] != before[1]
+    first_at = np.concatenate([[before[2]], at[fresh]])[np.cumsum(fresh)]
+    own = doc == first_doc
+    return ~own | (at != first_at), own & fresh, (first_doc[-1], body[-1], first_at[-1])
 
 
 def _route(symbols: Symbols, k: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, most=2 << 20):
-            ids = part["doc_id"].to_numpy()
+            ids, bodies = part["doc_id"].to_numpy(), part["body"].to_numpy()
             offsets, values, _ = symbols(part["text"])
             for document, anchor, low, high, h, whole in _runs(values, offsets, k, q):
-                doc, at = ids[document], _pack(anchor, low, high)
-                order, copy = _copies((h, whole), doc, at)
-                h, whole, doc, at = h[order], whole[order], doc[order], at[order]
+                doc, body, at = ids[document], bodies[document], _pack(anchor, low, high)
+                order, copy = _copies((h, whole), doc, body, at)
+                h, whole, doc, body, at = h[order], whole[order], doc[order], body[order], at[order]
                 h = np.where(copy, mix64(at.astype(np.uint64) * GOLDEN), h)  # settled: deal it anywhere
-                yield _batch(h=signed(h), whole=signed(whole), doc=doc, at=at | np.where(copy, _FLAG, 0))
+                yield _batch(h=signed(h), whole=signed(whole), doc=doc, body=body, at=at | np.where(copy, _FLAG, 0))
 
     return run
 
@@ -147,34 +156,33 @@ def _route(symbols: Symbols, k: int, q: int):
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From anchors in order of (hash, run, place): copies of an earlier run (``open`` false) and anchors with several runs (``open`` true)."""
     seen_h = seen_whole = waiting = None
-    place = 0, 0
+    place = 0, 0, 0
     for batch in batches:
-        h, whole, doc, at = (batch[c].to_numpy() for c in ("h", "whole", "doc", "at"))
+        h, whole, doc, body, at = (batch[c].to_numpy() for c in ("h", "whole", "doc", "body", "at"))
         done = (at & _FLAG) > 0
-        out = [(h[done], doc[done], at[done] & ~_FLAG, False)]
-        h, whole, doc, at = h[~done], whole[~done], doc[~done], at[~done]
+        out = [(h[done], doc[done], body[done], at[done] & ~_FLAG, False)]
+        h, whole, doc, body, at = h[~done], whole[~done], doc[~done], body[~done], at[~done]
         if len(h):
             new_h, new_whole = np.ones(len(h), bool), np.ones(len(h), bool)
             new_h[1:] = h[1:] != h[:-1]
             new_whole[1:] = whole[1:] != whole[:-1]
             if seen_h is not None and h[0] == seen_h:
                 new_h[0], new_whole[0] = False, whole[0] != seen_whole
-            new_whole |= new_h
-            copy, place = _elsewhere(new_whole, doc, at, place)
+            copy, first, place = _elsewhere(new_whole | new_h, doc, body, at, place)
             group = np.cumsum(new_h)
             several = np.zeros(group[-1] + 1, bool)
-            several[group[new_whole & ~new_h]] = True
+            several[group[first & ~new_h]] = True
             if waiting is not None and several[0]:
                 out.append((*waiting, True))
                 waiting = None
-            is_open = new_whole & (~new_h | several[group])
-            out += [(h[copy], doc[copy], at[copy], False), (h[is_open], doc[is_open], at[is_open], True)]
+            is_open = first & (~new_h | several[group])
+            out += [(h[copy], doc[copy], body[copy], at[copy], False), (h[is_open], doc[is_open], body[is_open], at[is_open], True)]
             if group[-1] > 0:
                 start = np.flatnonzero(new_h)[-1:]
-                waiting = None if several[-1] else (h[start], doc[start], at[start])
+                waiting = None if several[-1] else (h[start], doc[start], body[start], at[start])
             seen_h, seen_whole = h[-1], whole[-1]
-        yield _batch(h=np.concatenate([o[0] for o in out]), doc=np.concatenate([o[1] for o in out]), at=np.concatenate([o[2] for o in out]),
-                     open=np.concatenate([np.full(len(o[0]), o[3]) for o in out]))
+        columns = [np.concatenate([o[i] for o in out]) for i in range(4)]
+        yield _batch(**dict(zip(("h", "doc", "body", "at"), columns)), open=np.concatenate([np.full(len(o[0]), o[4]) for o in out]))
 
 
 def _cut(symbols: Symbols, k: int):
@@ -185,78 +193,83 @@ def _cut(symbols: Symbols, k: int):
             offsets, values, raw = symbols(part["text"])
             rows = part["anchors"].flatten()
             counts = np.diff(part["anchors"].offsets.to_numpy())
-            start, doc = np.repeat(offsets[:-1], counts), np.repeat(part["doc_id"].to_numpy(), counts)
+            start, doc, body = (np.repeat(v, counts) for v in (offsets[:-1], part["doc_id"].to_numpy(), part["body"].to_numpy()))
             h, at, hot = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("h", "at", "hot"))
             _, low, high = _unpack(at)
-            inside = high + k <= np.repeat(np.diff(offsets), counts)  # else of another text under the same id
-            cold, hot = inside & ~hot, inside & hot
+            cold = ~hot
             size = (high - low + k)[cold]
             text = raw[_spread((start + low)[cold], size)]
             ends = np.concatenate([[0], np.cumsum(size * raw.itemsize)]).astype(np.int32)
             context = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(text.tobytes())])
-            yield _batch(h=h[cold], doc=doc[cold], at=at[cold], context=context)
+            yield _batch(h=h[cold], doc=doc[cold], body=body[cold], at=at[cold], context=context)
             if hot.any():
                 each = (high - low + 1)[hot]
-                place, owner = _spread(low[hot], each), np.repeat(doc[hot], each)
+                place, owner, text_of = _spread(low[hot], each), np.repeat(doc[hot], each), np.repeat(body[hot], each)
                 key = mix64(grams(values, k)[_spread((start + low)[hot], each)] ^ GOLDEN)
                 packed = _pack(place, place, place)
-                order, copy = _copies((key,), owner, packed)
+                order, copy = _copies((key,), owner, text_of, packed)
                 key = np.where(copy, mix64(packed[order].astype(np.uint64) * GOLDEN), key[order])
-                yield _batch(h=signed(key), doc=owner[order], at=packed[order] | np.where(copy, _FLAG, 0), context=pa.nulls(len(key), pa.binary()))
+                yield _batch(h=signed(key), doc=owner[order], body=text_of[order], at=packed[order] | np.where(copy, _FLAG, 0), context=pa.nulls(len(key), pa.binary()))
 
     return run
 
 
 def _resolve(index: Index, k: int, dtype: type):
-    """Windows that also start earlier, from contexts in order of (key, place): ``doc, low, high``."""
+    """Windows that also start earlier, from contexts in order of (key, place): ``doc, body, low, high``."""
 
     def search(rows: list[tuple]) -> pa.RecordBatch:
-        h, doc, at = (np.concatenate([r[i] for r in rows]) for i in range(3))
-        blobs = [b for r in rows for b in r[3]]
+        h, doc, body, at = (np.concatenate([r[i] for r in rows]) for i in range(4))
+        blobs = [b for r in rows for b in r[4]]
         contexts = np.frombuffer(b"".join(blobs), dtype)
         offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]) // np.dtype(dtype).itemsize
         _, low, high = _unpack(at)
         first = index(contexts, offsets, h, k)
         counts = high - low + 1
-        place, owner = _spread(low, counts), np.repeat(doc, counts)
+        place, owner = _spread(low, counts), np.repeat(np.arange(len(doc)), counts)
         earlier = np.flatnonzero(first != _spread(offsets[:-1], counts))
-        first = first[earlier]
-        context = np.searchsorted(offsets, first, "right") - 1  # of one place there may be several: of repeated rows, or of texts under one id
-        earlier = earlier[(doc[context] != owner[earlier]) | (low[context] + first - offsets[context] != place[earlier])]
-        return _batch(doc=owner[earlier], low=place[earlier], high=place[earlier])
+        first, owner, place = first[earlier], owner[earlier], place[earlier]
+        context = np.searchsorted(offsets, first, "right") - 1
+        first_place = low[context] + first - offsets[context]  # of one place there may be several contexts, of repeated rows
+        other = np.flatnonzero((doc[context] == doc[owner]) & (body[context] != body[owner]))
+        if len(other):  # first in another text of the same id: what counts is the first place in this one
+            other = other[np.lexsort((place[other], body[owner[other]], first[other]))]
+            fresh = np.ones(len(other), bool)
+            fresh[1:] = (first[other][1:] != first[other][:-1]) | (body[owner[other]][1:] != body[owner[other]][:-1])
+            first_place[other] = place[other][fresh][np.cumsum(fresh) - 1]
+        again = (doc[context] != doc[owner]) | (first_place != place)
+        return _batch(doc=doc[owner[again]], body=body[owner[again]], low=place[again], high=place[again])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, last, first = [], 0, None, (0, 0)
+        held, n, last, first = [], 0, None, (0, 0, 0)
         for batch in batches:
-            h, doc, at = (batch[c].to_numpy() for c in ("h", "doc", "at"))
+            h, doc, body, at = (batch[c].to_numpy() for c in ("h", "doc", "body", "at"))
             lone = batch["context"].is_null().to_numpy(zero_copy_only=False)
             if lone.any():
-                key, owner, place = h[lone], doc[lone], at[lone]
+                key, owner, text_of, place = h[lone], doc[lone], body[lone], at[lone]
                 new = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
-                again, first = _elsewhere(new, owner, place, first)
+                again, _, first = _elsewhere(new, owner, text_of, place, first)
                 again |= (place & _FLAG) > 0
                 last = key[-1]
                 window = place[again] >> (2 * _RUN + 1)
-                yield _batch(doc=owner[again], low=window, high=window)
+                yield _batch(doc=owner[again], body=text_of[again], low=window, high=window)
             full = np.flatnonzero(~lone)
             if len(full):
                 blobs = batch["context"].take(pa.array(full)).to_pylist()
-                h, doc, at = h[full], doc[full], at[full]
-                near = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
-                if near.any():  # repeated rows bring the same context again
-                    fresh = np.array([True, *(not (s and a == b) for s, a, b in zip(near, blobs[1:], blobs))])
-                    h, doc, at, blobs = h[fresh], doc[fresh], at[fresh], [b for b, f in zip(blobs, fresh) if f]
+                h, doc, body, at = h[full], doc[full], body[full], at[full]
+                fresh = np.ones(len(h), bool)  # repeated rows bring the same context again
+                fresh[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (body[1:] != body[:-1]) | (at[1:] != at[:-1])
+                h, doc, body, at, blobs = h[fresh], doc[fresh], body[fresh], at[fresh], [b for b, f in zip(blobs, fresh) if f]
                 edge = 0
                 if n >= SHARD:  # a group of one key stays together
                     fresh = np.flatnonzero(h != held[-1][0][-1])
                     edge = fresh[0] if len(fresh) else len(h)
-                    held.append((h[:edge], doc[:edge], at[:edge], blobs[:edge]))
+                    held.append((h[:edge], doc[:edge], body[:edge], at[:edge], blobs[:edge]))
                     n += edge
                     if edge < len(h):
                         yield search(held)
                         held, n = [], 0
                 if edge < len(h):
-                    held.append((h[edge:], doc[edge:], at[edge:], blobs[edge:]))
+                    held.append((h[edge:], doc[edge:], body[edge:], at[edge:], blobs[edge:]))
                     n += len(h) - edge
         if held:
             yield search(held)
@@ -264,25 +277,30 @@ def _resolve(index: Index, k: int, dtype: type):
     return run
 
 
+def with_body(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``body``, which tells the texts of one id apart."""
+    return docs.withColumn("body", F.xxhash64("text"))
+
+
 def earlier_windows(docs: DataFrame, symbols: Symbols, index: Index, dtype: type, k: int, q: int) -> DataFrame:
-    """Runs of windows that also start earlier (smaller id, or same document and earlier start): ``doc, low, high``, a row per run.
+    """Runs of windows that also start earlier (smaller id, or same document and earlier start): ``doc, body, low, high``, a row per run.
 
-    ``docs`` has ``doc_id`` (not null) and ``text``. The result may hold several rows for one window.
+    ``docs`` has ``doc_id`` (not null), ``text`` and ``body`` (:func:`with_body`). The result may hold several rows for one window.
     """
-    anchors = docs.mapInArrow(_route(symbols, k, q), "h bigint, whole bigint, doc bigint, at bigint")
-    settled = staged(anchors.repartition("h").sortWithinPartitions("h", "whole", "doc", "at")
-                     .mapInArrow(_settle, "h bigint, doc bigint, at bigint, open boolean"), "repeats-settled")
-    opened = settled.where("open").select("h", "doc", "at")
+    anchors = docs.mapInArrow(_route(symbols, k, q), "h bigint, whole bigint, doc bigint, body bigint, at bigint")
+    settled = staged(anchors.repartition("h").sortWithinPartitions("h", "whole", "doc", "body", "at")
+                     .mapInArrow(_settle, "h bigint, doc bigint, body bigint, at bigint, open boolean"), "repeats-settled")
+    opened = settled.where("open").select("h", "doc", "body", "at")
     hot = opened.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HOT).select("h", F.lit(True).alias("hot"))
-    by_doc = staged(opened.join(hot, "h", "left").groupBy("doc").agg(
+    by_doc = staged(opened.join(hot, "h", "left").groupBy("doc", "body").agg(
         F.collect_list(F.struct("h", "at", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("anchors")), "repeats-open")
-    contexts = (docs.join(by_doc, docs["doc_id"] == by_doc["doc"]).select("doc_id", "text", "anchors")
-                .mapInArrow(_cut(symbols, k), "h bigint, doc bigint, at bigint, context binary"))
-    found = staged(contexts.repartition("h").sortWithinPartitions("h", "doc", "at")
-                   .mapInArrow(_resolve(index, k, dtype), "doc bigint, low bigint, high bigint"), "repeats-found")
+    contexts = (docs.join(by_doc, (docs["doc_id"] == by_doc["doc"]) & (docs["body"] == by_doc["body"])).select("doc_id", docs["body"], "text", "anchors")
+                .mapInArrow(_cut(symbols, k), "h bigint, doc bigint, body bigint, at bigint, context binary"))
+    found = staged(contexts.repartition("h").sortWithinPartitions("h", "doc", "body", "at")
+                   .mapInArrow(_resolve(index, k, dtype), "doc bigint, body bigint, low bigint, high bigint"), "repeats-found")
     anchor, run = F.shiftright("at", 2 * _RUN + 1), (1 << _RUN) - 1
     copies = settled.where("not open").select(
-        "doc", (anchor - F.shiftright("at", _RUN).bitwiseAND(run)).alias("low"), (anchor - F.col("at").bitwiseAND(run)).alias("high"))
+        "doc", "body", (anchor - F.shiftright("at", _RUN).bitwiseAND(run)).alias("low"), (anchor - F.col("at").bitwiseAND(run)).alias("high"))
     return copies.union(found)
 
 
@@ -296,5 +314,5 @@ def covered(low: np.ndarray, high: np.ndarray, k: int, n: int) -> np.ndarray:
 
 def with_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """``docs`` with the windows of each document as arrays ``low`` and ``high`` (null where there are none)."""
-    lists = windows.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("x")).select("doc", F.col("x.low").alias("low"), F.col("x.high").alias("high"))
-    return docs.join(lists, docs["doc_id"] == lists["doc"], "left").drop("doc")
+    lists = windows.groupBy("doc", "body").agg(F.collect_list(F.struct("low", "high")).alias("x")).select("doc", "body", F.col("x.low").alias("low"), F.col("x.high").alias("high"))
+    return docs.join(lists, (docs["doc_id"] == lists["doc"]) & (docs["body"] == lists["body"]), "left").drop("doc").drop(docs["body"]).drop(lists["body"])

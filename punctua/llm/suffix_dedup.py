@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.llm.batches import GOLDEN, mix64, pieces
-from punctua.llm.repeats import NO_ID, covered, earlier_windows, with_windows
+from punctua.llm.repeats import NO_ID, covered, earlier_windows, with_body, with_windows
 
 LENGTH, GRAM = 100, 32
 FIRST = 8  # bytes of the initial buckets
@@ -73,9 +73,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     ``(start, end)`` and ``kept`` the remaining bytes (binary, as a cut may split a character).
 
     A null or empty text has no bytes. Rows that repeat an id and text count as one document and get equal results; differing texts under one id are
-    compared with others but not with each other, and places found in one apply to all. A null id comes before all others. An empty table gives no rows.
+    documents of their own, compared with others but not with each other. A null id comes before all others. An empty table gives no rows.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text")
+    rows = with_body(docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"), "text"))
     found = with_windows(rows, earlier_windows(rows, byte_symbols, bucket_index, np.uint8, length, gram))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

@@ -125,6 +125,28 @@ def test_texts_under_one_id_do_not_erase_each_other(spark):
     assert {r.n_removed for r in remove_repeated_passages(frame(spark, rows)).collect()} == {0}
 
 
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_what_one_text_of_an_id_loses_the_others_keep(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(13)
+    first, unique, own, start = prose(rng, 120), prose(rng, 90), prose(rng, 60), prose(rng, 70)
+    for key in (2, None):
+        rows = [(1 if key else -9, first), (key, first), (key, unique), (key, own + " x " + own), (key, start + " a " + prose(rng, 30)), (key, start + " b " + prose(rng, 30)),
+                (key, start + " c " + start), (key, unique)]
+        for n in (1, 4):
+            docs = frame(spark, rows).repartition(n)
+            kept = {bytes(r.kept).decode(): r.n_removed for r in remove_repeats(docs).collect() if r.doc_id == key}
+            words = {r.kept: r.n_removed for r in remove_repeated_passages(docs).collect() if r.doc_id == key}
+            lost = 0 if key is None else len(first.split())  # a null id comes first, so its text stays and the other goes
+            assert words[unique] == kept[unique] == 0
+            assert words["" if key else first] == lost and kept["" if key else first] == (len(first) if key else 0)
+            assert all(words[t] == kept[t] == 0 for i, t in rows[4:6])
+            assert words[own + " x"] == 60 and words[start + " c"] == 70
+            assert sum(n > 0 for n in kept.values()) == (3 if key else 2)
+            left = [r.text for r in strip_passages(docs).collect() if r.doc_id == key]
+            assert left.count(unique) == 2 and own + " x" in left
+
+
 def test_refine_buckets_is_exact():
     rng = random.Random(1)
     import numpy as np

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: containment search by a lossless prefix of each item's shingles (DataFrame operations only)."""
+"""Benchmark decontamination: MinHash containment search, partitioned by item size, then exact shingles (DataFrame operations only)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from punctua.llm.common import shingle_hash, staged, starts, words
 
 SHINGLE = 5
 CONTAINED = 80  # percent of an item's distinct shingles
+SPARE = 4  # sketch entries beyond those that a holder of the largest item of a size partition may miss
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -24,20 +25,25 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
     return each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
 
 
-def containment_sketches(items: DataFrame, percent: int) -> DataFrame:
-    """The sketch of every item, the prefix of its shingles that any holder shares: ``item_id, h, least`` with sketch length and document bound set by size partition.
+def containment_sketches(items: DataFrame, percent: int, spare: int = SPARE) -> DataFrame:
+    """MinHash sketches of the items: ``item_id, h, matches, least``.
 
-    A document that holds ``c = ceil(n * percent / 100)`` of an item's ``n`` shingles misses ``n - c`` of them, so it holds one
-    of any ``n - c + 1``. Items are partitioned by size at powers of two; every item of a partition gets its
-    ``n - c + 1`` lowest hashes, shingles that few items share first. ``least`` is the number of words below which no
-    document can hold an item of the partition.
+    A sketch is the ``k`` least shingles of an item in one order of all shingles (a bottom-``k`` MinHash), and ``k`` is that of the item's size
+    partition: sizes from ``2^p`` to ``2^(p+1) - 1`` share the sketch length ``m + spare``, with ``m`` what a holder of the
+    partition's largest size may miss. The order is the hash, with shingles that many items share moved behind the others by the
+    power of two of their number, so that a common phrase of the benchmark is in few sketches.
+
+    The share of a sketch found in a document estimates the containment. A holder of ``c = ceil(n * percent / 100)`` of ``n`` shingles
+    misses at most ``n - c``, so ``matches = k - (n - c)`` is the estimate's threshold that no holder stays below: unlike signatures of the document, which
+    a long text around a short item swamps, it loses no pair. ``least`` is the number of words that holder has at least.
     """
     shared = items.groupBy("h").agg(F.floor(F.log2(F.count_distinct("item_id"))).alias("common"))
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy("common", "h"))
-    part = F.floor(F.log2("n"))
-    return (items.select("item_id", "h", "n").join(shared, "h").withColumn("rank", rank)
-            .where(F.col("rank") <= F.col("n") - _needed(F.col("n"), percent) + 1)
-            .select("item_id", "h", _needed(F.pow(F.lit(2.0), part), percent).cast("int").alias("least")))
+    largest = F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1
+    length = F.least(F.col("n"), (largest - _needed(largest, percent)).cast("long") + max(spare, 1))
+    needed = _needed(F.col("n"), percent)
+    return (items.select("item_id", "h", "n").join(shared, "h").withColumn("rank", rank).withColumn("k", length).where("rank <= k")
+            .select("item_id", "h", (F.col("k") - F.col("n") + needed).cast("int").alias("matches"), needed.cast("int").alias("least")))
 
 
 def _short_widths(items: DataFrame) -> list[int]:
@@ -67,8 +73,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED)
     """Documents that hold a benchmark item: ``doc_id, item_id, n_item, n_shared, containment``, one row per pair.
 
     Texts are lower-cased; shingles are ``SHINGLE`` consecutive words. An item is held if at least ``percent`` of its distinct shingles occur in
-    the document; an item of fewer words is one shingle, held wherever its words stand one after another. Sketches find every such pair (see
-    :func:`containment_sketches`); the shingles of the found documents are then compared as text.
+    the document; an item of fewer words is one shingle, held wherever its words stand one after another. Every distinct shingle of a whole document is looked
+    up in the items' sketches; pairs with enough matches (see :func:`containment_sketches`) are then compared by their shingles as text.
 
     The sketches are joined without a hint: Spark broadcasts them below its own size threshold, else both sides shuffle
     on the shingle hash, and adaptive execution splits a hot one. Null and blank texts hold nothing and are held by
@@ -79,7 +85,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINED)
     sketches, short = staged(containment_sketches(items, percent), "leak-sketches"), _short_widths(items)
     size = F.size("w").alias("words")
     found = staged(_document_shingles(docs, short, size).join(sketches, "h").where("words >= least")
-                   .select("doc_id", "item_id").distinct(), "leak-candidates")
+                   .groupBy("doc_id", "item_id", "matches").agg(F.count_distinct("h").alias("matched"))
+                   .where("matched >= matches").select("doc_id", "item_id"), "leak-candidates")
     held = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
     text = F.array_join(F.slice("w", F.col("at") + 1, F.col("width")), " ").alias("shingle")
     shared = (_document_shingles(held, short, text).join(items, ["h", "shingle"]).join(found, ["doc_id", "item_id"], "left_semi")

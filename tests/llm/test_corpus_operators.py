@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctua.llm import repeats
-from punctua.llm.decontaminate import drop_leaks, find_leaks
+from punctua.llm.decontaminate import containment_sketches, drop_leaks, find_leaks, item_shingles
 from punctua.llm.fm_dedup import remove_repeated_passages, strip_passages
 from punctua.llm.html_layout import extract_text, page_text
 from punctua.llm.language import identify_language, keep_identified
@@ -231,6 +231,28 @@ def test_leaks(spark, texts):
     assert left.count() == sum(r[0] not in {d for d, _ in want} for r in texts)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_sketches_lose_no_holder(spark, percent):
+    rng = random.Random(14)
+    items = {n: prose(rng, n) for n in (5, 6, 9, 12, 19, 20, 35, 68, 131)} | {200 + i: "which of these is the right answer to the question " + prose(rng, 12) for i in range(9)}
+    rows = []
+    for i, t in items.items():  # the first words of every item, from too few to all, inside a long text
+        w = t.split()
+        rows += [(1000 * i + m, " ".join([prose(rng, 150), *w[:m], prose(rng, 150)])) for m in range(5, len(w) + 1, 1 + len(w) // 25)]
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    want = {(d, i): len(shingles(t, 5) & shingles(x, 5)) for d, x in rows for i, t in items.items()}
+    want = {(*k, v) for k, v in want.items() if v and 100 * v >= percent * len(shingles(items[k[1]], 5))}
+    assert {(r.doc_id, r.item_id, r.n_shared) for r in find_leaks(frame(spark, rows), bench, percent).collect()} == want and len(want) >= len(items)
+    sketch = containment_sketches(item_shingles(bench), percent).groupBy("item_id", "matches").count().collect()
+    sizes = {i: len(shingles(t, 5)) for i, t in items.items()}
+    assert len(sketch) == len(items) and all(r["count"] - r.matches == sizes[r.item_id] - -(-sizes[r.item_id] * percent // 100) and r.matches >= 1 for r in sketch)
+    by_part = {}
+    for r in sketch:
+        if r["count"] < sizes[r.item_id]:
+            by_part.setdefault(sizes[r.item_id].bit_length(), set()).add(r["count"])
+    assert all(len(v) == 1 for v in by_part.values())
+
+
 def test_quality(spark, texts):
     rng = random.Random(2)
     rows = [*texts, (50, "go " * 8 + "x" * 30), (51, ("one two three four five six seven eight nine ten " * 3).strip())]

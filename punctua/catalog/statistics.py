@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.catalog.core import _LATEST_SQL, LINE_ORDER
+from punctua.catalog.derived import written
 from punctua.catalog.registry import SQL, Tables, query
 from punctua.functions import datediff_boundary, flag
 from punctua.operators import assert_sample, rate_by
@@ -105,15 +106,22 @@ def logit_clustered(t: Tables) -> DataFrame:
         rows, "term STRING, odds_ratio DOUBLE, ci_low DOUBLE, ci_high DOUBLE, p_value DOUBLE, effect DOUBLE")
 
 
-def _lateness(t: Tables) -> tuple[DataFrame, Study]:
-    """Line items as events: shipped 15 or more days after the order is late; a batch is a month and flag."""
+def _late_lines(t: Tables) -> DataFrame:
     days = datediff_boundary("day", "o_orderdate", "l_shipdate")
-    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_returnflag").alias("place"), (F.col("l_returnflag") == "R").cast("int").alias("is_base"),
         (F.col("l_linestatus") == "O").cast("int").alias("is_open"), (F.col("l_tax") > 0.06).cast("int").alias("taxed"),
         F.floor(F.col("l_quantity") / 10).alias("size"), days.alias("days"), flag(days >= 15).cast("int").alias("is_late"),
         F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM"), "l_returnflag").alias("batch"),
         F.date_format("o_orderdate", "yyyy").alias("year"), "o_orderpriority", F.floor(F.col("l_discount") * 100).alias("discount"))
+
+
+def _lateness(t: Tables) -> tuple[DataFrame, Study]:
+    """Line items as events: shipped 15 or more days after the order is late; a batch is a month and flag.
+
+    The rows are written once: a study reads them in several passes, each of which would join line items and orders again.
+    """
+    rows = written(t, "lateness", lambda: _late_lines(t))
     study = Study("is_base", "place", ("A", "N", "R"), "R", F.col("is_late"),
                   {**number("is_open"), **number("taxed"), **number("size")}, "batch")
     return rows, study

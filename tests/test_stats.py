@@ -237,3 +237,21 @@ def test_the_mixing_function_is_one_in_columns_arrays_and_numbers(spark):
     x = np.array([0, 1, 12345, 2**32 - 1], dtype=np.int64)
     column = [r[0] for r in spark.createDataFrame([(int(v),) for v in x], "x BIGINT").select(bootstrap.mixed(F.col("x"))).collect()]
     assert column == bootstrap.mixed(x).tolist() == [bootstrap.mixed(int(v)) for v in x]
+
+
+def test_study_rows_are_joined_once(spark, tmp_path):
+    """Every pass of a study reads the written rows; none joins line items and orders again."""
+    from punctua.catalog.registry import Tables
+    from punctua.catalog.statistics import _late_lines, _lateness
+
+    spark.sql("""select * from values (1L, 'R', 'O', 0.07D, 33.0D, 0.04D, timestamp_ntz'2024-01-20 00:00:00'), (1L, 'A', 'F', 0.0D, 5.0D, 0.1D, null),
+        (2L, null, 'F', 0.02D, null, 0.0D, timestamp_ntz'2024-02-03 00:00:00'), (2L, null, 'F', 0.02D, null, 0.0D, timestamp_ntz'2024-02-03 00:00:00'),
+        (null, 'N', 'O', 0.01D, 1.0D, 0.0D, timestamp_ntz'2024-02-03 00:00:00')
+        as t(l_orderkey, l_returnflag, l_linestatus, l_tax, l_quantity, l_discount, l_shipdate)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("""select * from values (1L, timestamp_ntz'2024-01-02 00:00:00', '1-URGENT'), (2L, timestamp_ntz'2024-02-01 00:00:00', null)
+        as t(o_orderkey, o_orderdate, o_orderpriority)""").write.parquet(f"{tmp_path}/orders.parquet")
+    t = Tables(spark, str(tmp_path))
+    rows, _ = _lateness(t)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    direct = _late_lines(t)
+    assert rows.columns == direct.columns and sorted(map(repr, rows.collect())) == sorted(map(repr, direct.collect())) and rows.count() == 4

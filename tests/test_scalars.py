@@ -122,3 +122,17 @@ def test_one_bad_record_leaves_the_others(spark):
     raw = spark.createDataFrame([(1, '{"data": [{"a": "x"}, 7, "text", null, {"a": 2}]}'), (2, '{"data": []}'), (3, "<html>")], "id INT, raw_data STRING")
     got = plans.flatten_records(raw, "STRUCT<a: STRING>").select("id", "r.a").collect()
     assert [(r.id, r.a) for r in got] == [(1, "x"), (1, None), (1, None), (1, None), (1, "2")]
+
+
+def test_records_come_out_of_the_one_parse_of_their_document(spark):
+    """No record is parsed again behind its document; a document with an odd part still keeps its other records."""
+    good = '{"a": "x", "s": {"b": 1.5}}'
+    odd = ['"text"', "null", "5", "[]", f"[{good}]", '{"a": "y", "s": "no struct"}', '{"s": [1], "a": {"c": 1}}', '"{\\"a\\": \\"inside\\"}"', '{"_odd": "z"}']
+    docs = [f'{{"data": [{good}, {r}, {good}]}}' for r in odd] + [None, "", "{", "[]", '{"data": {}}', '{"data": []}', f'{{"data": [{good}', f'[{{"data": [{good}]}}]']
+    raw = spark.createDataFrame(list(enumerate(docs)), "id INT, raw_data STRING")
+    record = "STRUCT<a: STRING, s: STRUCT<b: STRING>>"
+    got = plans.flatten_records(raw, record)
+    behind = got._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "from_json" not in behind
+    one_by_one = raw.select("id", F.explode(F.from_json("raw_data", "data ARRAY<STRING>")["data"]).alias("t")).select("id", F.from_json("t", record).alias("r"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, one_by_one.collect()))

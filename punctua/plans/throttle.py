@@ -4,7 +4,8 @@ Results are cut into buckets of time. Each bucket is summed up (last wording, la
 every bucket what came before it, and so wording changes and the *runs* between them are found bucket by bucket. Inside a run an
 announcement is repeated by the first result later than ``realert_hours`` after the last one. Per block of a run that is a step function from
 the time of the last announcement before the block to the last one in it; the functions are composed along the run, and each block
-then finds its own announcements from what it is handed.
+then finds its own announcements from what it is handed. Most runs are short: one of at most ``FOLD`` results is one array, passed over once, so
+that no Python group is started for it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ __all__ = ["ALERT_STATE", "throttle", "throttle_alerts"]
 
 BUCKET_SECONDS = 3600
 BLOCK = 16  # re-announcement intervals in a block
+FOLD = 256  # results of a run that is passed over as one array
 ALERT_STATE = "signature STRING, last_at TIMESTAMP_NTZ, held BIGINT"  # besides the key
 
 
@@ -76,6 +78,39 @@ def _announced(table: pa.Table, realert: int) -> pa.Table:
     return rows.append_column("pos", pa.array(position[at].astype(np.int64)))
 
 
+def _folded(cells: DataFrame, realert: int) -> DataFrame:
+    """The announcements of runs of few results, as ``_announced`` gives them: one pass over the sorted results of a run."""
+    runs = cells.groupBy("k", "run", "ru").agg(F.array_sort(F.collect_list(F.struct("u", "c", "d"))).alias("cells"))
+    none = F.array().cast("array<struct<u: bigint, d: string, pos: bigint>>")
+
+    def step(so_far: Column, cell: Column) -> Column:
+        due, said = cell["u"] > so_far["last"] + F.lit(realert), so_far["said"]
+        one = F.array(F.struct(cell["u"].alias("u"), cell["d"].alias("d"), so_far["before"].alias("pos")))
+        return F.struct(F.when(due, cell["u"]).otherwise(so_far["last"]).alias("last"), (so_far["before"] + cell["c"]).alias("before"),
+                        F.when(due, F.concat(said, one)).otherwise(said).alias("said"))
+
+    start = F.struct(F.col("ru").alias("last"), F.lit(0).cast("long").alias("before"), none.alias("said"))
+    return runs.select("k", "run", F.inline(F.aggregate("cells", start, step)["said"]))
+
+
+def _by_blocks(cells: DataFrame, realert: int, block: int) -> DataFrame:
+    """The announcements of runs of any length, block by block.
+
+    Groups are dealt into as many tasks as the session shuffles into, at least one for each core: they cost time each, not bytes, by which Spark would
+    merge them all into one task.
+    """
+    spark = cells.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ids = f"k {cells.schema['k'].dataType.simpleString()}, run string"
+    cells = cells.withColumn("j", F.floor((F.col("u") - F.col("ru")) / (block * realert)))
+    functions = cells.repartition(parts, "k", "run", "j").groupBy("k", "run", "j").applyInArrow(
+        lambda table: _step_function(table, realert, block), f"{ids}, ru long, j long, c long, entries array<long>, exits array<long>")
+    handed = functions.repartition(parts, "k", "run").groupBy("k", "run").applyInArrow(
+        lambda table: _compose(table, realert), f"{ids}, j long, last long, before long")
+    return cells.join(handed, ["k", "run", "j"]).repartition(parts, "k", "run", "j").groupBy("k", "run", "j").applyInArrow(
+        lambda table: _announced(table, realert), f"{ids}, u long, d string, pos long")
+
+
 def _runs(points: DataFrame, open_before: DataFrame) -> DataFrame:
     """``points`` with the run each belongs to, ``kind`` where it announces a change, and the run before that change.
 
@@ -131,17 +166,12 @@ def throttle(results: DataFrame, key: str = "check", at: str = "checked_at", det
     points = scratch(_runs(timed, open_before.groupBy("k").agg(F.max("s").alias("s"))), "throttle-points")
 
     problems = points.where("s is not null")
-    runs = scratch(problems.groupBy("k", "run", "ru").agg(F.sum("c").alias("total"), F.max("u").alias("newest"), F.min("s").alias("s")), "throttle-runs")
-    long = runs.where(F.col("newest") > F.col("ru") + realert).select("k", "run")
-    cells = (problems.join(long, ["k", "run"], "left_semi").groupBy("k", "run", "ru", "u").agg(F.sum("c").alias("c"), F.min("d").alias("d"))
-             .withColumn("j", F.floor((F.col("u") - F.col("ru")) / (block * realert))))
+    runs = problems.groupBy("k", "run", "ru").agg(F.sum("c").alias("total"), F.max("u").alias("newest"), F.min("s").alias("s"), F.count(F.lit(1)).alias("n"))
+    runs = scratch(runs, "throttle-runs")
+    long = runs.where(F.col("newest") > F.col("ru") + realert).select("k", "run", (F.col("n") <= FOLD).alias("few"))
+    cells = problems.join(long, ["k", "run"]).groupBy("k", "run", "ru", "u").agg(F.sum("c").alias("c"), F.min("d").alias("d"), F.first("few").alias("few"))
     cells = scratch(cells, "throttle-cells")
-    kind = points.schema["k"].dataType.simpleString()
-    ids = f"k {kind}, run string"
-    functions = cells.groupBy("k", "run", "j").applyInArrow(lambda table: _step_function(table, realert, block), f"{ids}, ru long, j long, c long, entries array<long>, exits array<long>")
-    handed = functions.groupBy("k", "run").applyInArrow(lambda table: _compose(table, realert), f"{ids}, j long, last long, before long")
-    again = scratch(cells.join(handed, ["k", "run", "j"]).groupBy("k", "run", "j").applyInArrow(
-        lambda table: _announced(table, realert), f"{ids}, u long, d string, pos long"), "throttle-again")
+    again = scratch(_folded(cells.where("few"), realert).unionByName(_by_blocks(cells.where("not few").drop("few"), realert, block)), "throttle-again")
 
     ends = again.groupBy("k", "run").agg(F.max("pos").alias("pos"), F.max("u").alias("last"))
     ends = runs.join(ends, ["k", "run"], "left").select(
